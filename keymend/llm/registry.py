@@ -3,9 +3,11 @@
 from __future__ import annotations
 
 from keymend.llm.exact_dedup import OP4_SQL, op4_exact_dedup
+from keymend.llm.quality_rules import op6_quality_rules
 
 QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
+    "op6_quality_rules": op6_quality_rules,
 }
 SQL = {
     "op4_exact_dedup": OP4_SQL,
