@@ -30,9 +30,10 @@ from keymend.llm.common import (
 
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
-#: Limits of the two distances, and the least words for them to be looked at.
-MAX_CHAR_DISTANCE = 0.30
-MAX_WORD_DISTANCE = 0.45
+#: Limits of the two distances as (a, b) of a + b / sqrt(n_words), since a short text's histogram
+#: strays further by chance; and the least words for the distances to be looked at.
+MAX_CHAR_DISTANCE = (0.20, 0.6)
+MAX_WORD_DISTANCE = (0.25, 0.9)
 GUARD_WORDS = 100
 MIN_REFERENCE = 1000
 
@@ -85,10 +86,9 @@ def measure(data: np.ndarray, off: np.ndarray) -> dict[str, np.ndarray]:
     end = end - ((end > start) & (data[np.maximum(end - 1, 0)] == 10))
     words_before = np.searchsorted(w.start, np.stack([start, end]))
     has = words_before[1] > words_before[0]
-    key = np.sort(mix(span_hash(prefix, start[has], end[has]) ^ mix(line_doc[has].astype(np.uint64))))
-    # repeated lines are counted by document, so the key's document is kept beside it
-    order = np.argsort(mix(span_hash(prefix, start[has], end[has]) ^ mix(line_doc[has].astype(np.uint64))), kind="stable")
-    owner = line_doc[has][order]
+    key = mix(span_hash(prefix, start[has], end[has]) ^ mix(line_doc[has].astype(np.uint64)))
+    order = np.argsort(key)
+    key, owner = key[order], line_doc[has][order]
     again = np.concatenate([[False], key[1:] == key[:-1]]) if len(key) else np.empty(0, bool)
     dup_lines = np.bincount(owner[again], minlength=n)
     # words in 3-word windows that occur twice or more in the document
@@ -160,7 +160,9 @@ def _judged(batches):
         ref = _matrix(col["ref_words"], BINS)
         jw = js_distance(_matrix(col["words"], BINS), ref)
         look = (words >= GUARD_WORDS) & (ref.sum(1) >= MIN_REFERENCE)
-        bad = look & ((jc > MAX_CHAR_DISTANCE) | (jw > MAX_WORD_DISTANCE))
+        root = np.sqrt(np.maximum(words, 1))
+        (ac, bc), (aw, bw) = MAX_CHAR_DISTANCE, MAX_WORD_DISTANCE
+        bad = look & ((jc > ac + bc / root) | (jw > aw + bw / root))
         yield pa.RecordBatch.from_arrays(
             [col["doc_id"], *(col[c] for c in _COUNTS), pa.array(failed), pa.array(~failed & ~bad), pa.array(jc), pa.array(jw)],
             ["doc_id", *_COUNTS, "base_failed", "kept", "char_distance", "word_distance"])
