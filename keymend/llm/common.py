@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 
 #: Raw text bytes handled at once by the numpy code; a longer document is handled alone.
 CHUNK = 1 << 20
+CHUNK_ROWS = 1024
 #: A key counts as hot when it holds more than 1/HOT of the rows, so there are fewer than HOT hot keys.
 HOT = 256
 
@@ -103,7 +104,7 @@ def chunks(batches, text: str = "text", limit: int = CHUNK):
         i, n = 0, batch.num_rows
         while i < n:
             j = max(i + 1, int(np.searchsorted(off, off[i] + limit, "right")) - 1)
-            j = min(j, n)
+            j = min(j, n, i + CHUNK_ROWS)
             yield batch.slice(i, j - i), data[off[i] : off[j]], off[i : j + 1] - off[i]
             i = j
 
