@@ -4,7 +4,9 @@ from __future__ import annotations
 
 from keymend.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from keymend.llm.minhash_forest import op1_minhash_forest
+from keymend.llm.pack import op8_pack
 from keymend.llm.quality_rules import op6_quality_rules
+from keymend.llm.source_mix import OP5_SQL, op5_source_mix
 from keymend.llm.substring_dedup import op2_substring_dedup
 from keymend.llm.suffix_dedup import op10_suffix_dedup
 
@@ -12,9 +14,12 @@ QUERIES = {
     "op1_minhash_forest": op1_minhash_forest,
     "op2_substring_dedup": op2_substring_dedup,
     "op4_exact_dedup": op4_exact_dedup,
+    "op5_source_mix": op5_source_mix,
     "op6_quality_rules": op6_quality_rules,
+    "op8_pack": op8_pack,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 SQL = {
     "op4_exact_dedup": OP4_SQL,
+    "op5_source_mix": OP5_SQL,
 }
