@@ -5,6 +5,8 @@ from __future__ import annotations
 from keymend.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from keymend.llm.minhash_forest import op1_minhash_forest
 from keymend.llm.pack import op8_pack
+from keymend.llm.pii import op7_pii
+from keymend.llm.quality_classifier import op9_quality_classifier
 from keymend.llm.quality_rules import op6_quality_rules
 from keymend.llm.source_mix import OP5_SQL, op5_source_mix
 from keymend.llm.substring_dedup import op2_substring_dedup
@@ -16,7 +18,9 @@ QUERIES = {
     "op4_exact_dedup": op4_exact_dedup,
     "op5_source_mix": op5_source_mix,
     "op6_quality_rules": op6_quality_rules,
+    "op7_pii": op7_pii,
     "op8_pack": op8_pack,
+    "op9_quality_classifier": op9_quality_classifier,
     "op10_suffix_dedup": op10_suffix_dedup,
 }
 SQL = {
