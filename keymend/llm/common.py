@@ -39,7 +39,7 @@ def _forget(spark: SparkSession, path: str) -> None:
         pass
 
 
-def stash(df: DataFrame, tag: str) -> DataFrame:
+def stash(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
     """Write `df` as Parquet in the shared folder and read it back: cuts the lineage, survives
     lost executors and is never recomputed. Removed when the driver's process ends."""
     spark = df.sparkSession
@@ -48,7 +48,7 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
         _DIRS[base] = base
         atexit.register(_forget, spark, base)
     path = f"{base}/{tag}-{uuid.uuid4().hex[:12]}"
-    df.write.parquet(path)
+    df.write.option("compression", compression).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
@@ -223,3 +223,24 @@ def covered(spans_from: np.ndarray, spans_to: np.ndarray, n: int) -> np.ndarray:
 
 def binary(parts: list[bytes]) -> pa.Array:
     return pa.array(parts, pa.binary())
+
+
+# --- sums of arrays ---------------------------------------------------------------------------
+
+def _adder(key: str, dtype: str):
+    def add(t: pa.Table) -> pa.Table:
+        total = 0
+        for v in t.column("values").to_pylist():
+            total = total + np.frombuffer(v, dtype).astype(float)
+        return pa.table({key: t.column(key).slice(0, 1), "values": pa.array([total.astype(dtype).tobytes()], pa.binary())})
+    return add
+
+
+def add_slices(parts: DataFrame, dtype: str) -> dict[int, np.ndarray]:
+    """Sums of packed arrays (slice int, values binary) by slice, on the driver: for tables of a
+    fixed size only. In two steps, so that no task gets an array of every scan partition."""
+    step = parts.withColumn("at", F.col("slice") * 64 + F.pmod(F.spark_partition_id(), F.lit(64)))
+    step = step.groupBy("at").applyInArrow(_adder("at", dtype), "at int, values binary")
+    rows = step.withColumn("slice", F.floor(F.col("at") / 64).cast("int")).groupBy("slice").applyInArrow(
+        _adder("slice", dtype), "slice int, values binary").collect()
+    return {r["slice"]: np.frombuffer(r["values"], dtype) for r in rows}

@@ -23,7 +23,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keymend.llm.common import Words, arrow_batches, chunks, documents, mix, prefix_hash, span_hash, stash
+from keymend.llm.common import Words, add_slices, arrow_batches, chunks, documents, mix, prefix_hash, span_hash, stash
 
 BUCKETS = 4096
 DIM = 32
@@ -68,25 +68,12 @@ def _contexts(batches):
         yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.astype("<f4").tobytes()], pa.binary())], ["slice", "values"])
 
 
-def _added(key: str):
-    def add(t: pa.Table) -> pa.Table:
-        total = 0
-        for v in t.column("values").to_pylist():
-            total = total + np.frombuffer(v, "<f4").astype(float)
-        return pa.table({key: t.column(key).slice(0, 1), "values": pa.array([total.astype("<f4").tobytes()], pa.binary())})
-    return add
-
-
 def context_vectors(docs: DataFrame) -> np.ndarray:
-    """Normalised context vectors, 2 * BUCKETS x DIM. Sums are made in two steps, so that no task
-    gets a table of every scan partition."""
+    """Normalised context vectors, 2 * BUCKETS x DIM."""
     parts = docs.select("text").mapInArrow(_contexts, "slice int, values binary")
-    step = parts.withColumn("at", F.col("slice") * 64 + F.pmod(F.spark_partition_id(), F.lit(64)))
-    step = step.groupBy("at").applyInArrow(_added("at"), "at int, values binary")
-    rows = step.withColumn("slice", F.floor(F.col("at") / 64).cast("int")).groupBy("slice").applyInArrow(_added("slice"), "slice int, values binary").collect()
-    table = np.zeros((2 * BUCKETS * DIM // (SLICE * DIM), SLICE * DIM), np.float32)
-    for r in rows:  # a fixed 2 * BUCKETS * DIM numbers
-        table[r["slice"]] = np.frombuffer(r["values"], "<f4")
+    table = np.zeros((2 * BUCKETS // SLICE, SLICE * DIM), np.float32)
+    for i, values in add_slices(parts, "<f4").items():
+        table[i] = values
     table = table.reshape(-1, DIM)
     norm = np.linalg.norm(table, axis=1, keepdims=True)
     return table / np.maximum(norm, 1e-9)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from keymend.llm.brown_lm import op3_brown_lm
 from keymend.llm.exact_dedup import OP4_SQL, op4_exact_dedup
 from keymend.llm.minhash_forest import op1_minhash_forest
 from keymend.llm.pack import op8_pack
@@ -15,6 +16,7 @@ from keymend.llm.suffix_dedup import op10_suffix_dedup
 QUERIES = {
     "op1_minhash_forest": op1_minhash_forest,
     "op2_substring_dedup": op2_substring_dedup,
+    "op3_brown_lm": op3_brown_lm,
     "op4_exact_dedup": op4_exact_dedup,
     "op5_source_mix": op5_source_mix,
     "op6_quality_rules": op6_quality_rules,
