@@ -1,0 +1 @@
+"""Finding and repairing broken fact-to-dimension references after dimension reloads."""

@@ -1,0 +1 @@
+"""Every operator here is a batch operator; there is no streaming operator to offer."""
