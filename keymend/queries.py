@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keymend.functions.keys import business_key_equal, deterministic_key, natural_key, normalized
@@ -116,7 +116,8 @@ def query(sql: str | None = None):
     return add
 
 
-N = F.count(F.lit(1))
+def rows() -> Column:
+    return F.count(F.lit(1))
 
 
 # --- keys -----------------------------------------------------------------------------------
@@ -295,7 +296,7 @@ def ri_pre(s: Star) -> DataFrame:
 
 @query("select count(*) as orphan_rows from rekeyed f anti join b_customer_dim d on f.customer_key = d.customer_key where f.customer_key <> -1")
 def ri_post(s: Star) -> DataFrame:
-    return validate.orphans(rekey_scd1(s), "customer_key", s.b_customer(), "customer_key").agg(N.alias("orphan_rows"))
+    return validate.orphans(rekey_scd1(s), "customer_key", s.b_customer(), "customer_key").agg(rows().alias("orphan_rows"))
 
 
 @query("""select 'part_key' as fk_column, count(*) as orphan_rows from b_hub h anti join b_part_dim d on h.part_key = d.part_key where h.part_key <> -1
@@ -484,7 +485,7 @@ def cohorts(s: Star) -> DataFrame:
 
 @query("select load_batch, count(*) as n from b_order_fact group by 1")
 def cohort_counts(s: Star) -> DataFrame:
-    return s.b_orders().groupBy("load_batch").agg(N.alias("n"))
+    return s.b_orders().groupBy("load_batch").agg(rows().alias("n"))
 
 
 @query("select * from g_order_fact where order_id >= 50")
