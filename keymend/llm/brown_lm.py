@@ -24,7 +24,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keymend.llm.common import Words, add_slices, arrow_batches, chunks, documents, n_parts, sort_runs, stash
+from keymend.llm.common import Words, add_slices, arrow_batches, chunks, documents, id_array, ids_back, n_parts, sort_runs, stash
 
 #: Words that take part in the exchange, and the classes they go to.
 TOP = 1000
@@ -87,7 +87,7 @@ class _Block:
         self.ids, self.held, self.size, self.words, self.n = [], [], [], [], 0
 
     def add(self, rows, w: Words):
-        self.ids.append(rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64))
+        self.ids.append(id_array(rows.column("doc_id")))
         self.held.append(np.asarray(rows.column("held_out").to_numpy(zero_copy_only=False), bool))
         self.size.append(w.count)
         self.words.append(w.hash)
@@ -213,7 +213,7 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
             table[a, :] -= r
             table[:, a] -= l
             table[a, a] -= own[w]
-            row, col = table.sum(1), table.sum(0)
+            row, col = table.sum(1) + l, table.sum(0) + r  # of all other words, with their steps to and from this one
             gain = (ent(table + r) - ent(table)).sum(1) + (ent(table + l[:, None]) - ent(table)).sum(0)
             d = np.diag(table)
             gain += ent(d + r + l + own[w]) - ent(d + r) - ent(d + l) + ent(d)
@@ -273,7 +273,7 @@ def _score_blocks(m: Model, new: float):
         sums = [np.add.reduceat(x[seq], start) for x in ((count > 0).astype(np.int64), base, emit)]
         classes = kind[seq].astype(np.uint8).tobytes()
         return pa.table({
-            "doc_id": pa.array(ids), "held_out": pa.array(held), "n_tokens": pa.array(size), "n_known": pa.array(sums[0]),
+            "doc_id": ids_back(ids), "held_out": pa.array(held), "n_tokens": pa.array(size), "n_known": pa.array(sums[0]),
             "base_score": pa.array(sums[1]), "emission": pa.array(sums[2]),
             "classes": pa.array([classes[i : i + n] for i, n in zip(start.tolist(), size.tolist(), strict=True)], pa.binary())})
     return score

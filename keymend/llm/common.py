@@ -95,6 +95,22 @@ def text_arrays(col: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     return d[o[0] : o[-1]], o - o[0]
 
 
+#: Stands for a null doc_id in numpy arrays: before all others.
+NULL_ID = -(2**63)
+
+
+def id_array(col: pa.Array) -> np.ndarray:
+    """An integer column as int64, null as NULL_ID."""
+    if isinstance(col, pa.ChunkedArray):
+        col = col.combine_chunks()
+    col = col.cast(pa.int64())
+    return (pc.fill_null(col, NULL_ID) if col.null_count else col).to_numpy(zero_copy_only=False)
+
+
+def ids_back(ids: np.ndarray) -> pa.Array:
+    return pa.array(ids, pa.int64(), mask=ids == NULL_ID)
+
+
 def chunks(batches, text: str = "text", limit: int = CHUNK):
     """(batch slice, bytes, offsets) for runs of rows of about `limit` bytes of text."""
     for batch in batches:

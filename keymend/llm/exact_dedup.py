@@ -10,8 +10,8 @@
 4. All other digests, each with at most rows/(K+1) rows, go through an ordinary shuffle.
 
 Cases: null text counts as empty, so null and '' are copies of each other; ties on doc_id
-(repeated rows) keep one doc_id and each row appears in the result with the same verdict; an empty table gives an
-empty result; other columns of the input are ignored, whatever their names.
+(repeated rows) keep one doc_id, and each row appears in the result with the same verdict; a
+null doc_id stays only where its group has no other; an empty table gives an empty result; other columns of the input are ignored, whatever their names.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ is no false link; a region never gives more than REACH pairs a row, so a group o
 costs in proportion to n.
 
 Cases: null, empty and blank texts have an empty set and are their own component; texts under 5
-words have one shingle; ties cannot arise; rows that repeat a doc_id get the same verdict; empty
+words have one shingle; ties cannot arise; rows that repeat a doc_id get the same verdict; a null
+doc_id links nothing and stands for no group unless it is alone in it; empty
 tables give empty results; extra input columns are ignored.
 """
 
@@ -331,7 +332,7 @@ def minhash_dedup(docs: DataFrame) -> DataFrame:
     labels = stash(classes.join(final, "rep", "left").select("class", "cnt", F.coalesce("component", "rep").alias("component_id")), "labels")
     rows = attach(some, labels, "class", light.count()).select("doc_id", "n_shingles", "component_id")
     rows = rows.unionByName(light.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))
-    return rows.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return rows.withColumn("kept", F.col("doc_id").eqNullSafe(F.col("component_id")))
 
 
 def op1_minhash_forest(spark: SparkSession, sf_dir: str) -> DataFrame:

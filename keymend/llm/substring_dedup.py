@@ -14,7 +14,8 @@ Documents whose whole word sequence equals an earlier one's need no windows: the
 stay whole when shorter than a window). Only digests are kept of documents without matches.
 
 Cases: null, empty and short texts (under 20 words) keep everything; rows that repeat a doc_id
-count as one document and get the same verdict each; empty tables give empty results; extra
+count as one document and get the same verdict each; a row with a null
+doc_id counts as the first document and keeps everything; empty tables give empty results; extra
 input columns are ignored.
 """
 
@@ -27,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keymend.llm.common import Words, arrow_batches, attach, chunks, covered, documents, grams, mix, ragged, stash
+from keymend.llm.common import Words, arrow_batches, attach, chunks, covered, documents, grams, id_array, mix, stash
 from keymend.llm.exchange import find_repeats
 
 WINDOW = 20
@@ -52,7 +53,7 @@ def _digests(batches):
 
 
 def _ids(rows: pa.RecordBatch) -> np.ndarray:
-    return rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+    return id_array(rows.column("doc_id"))
 
 
 def _anchors(rows, data, off):

@@ -14,7 +14,8 @@ A representative with over HOT_REGIONS regions (a passage in a large share of al
 its strings are matched by `exchange.find_repeats`, where a block sends each string once.
 
 Cases: null and empty texts have no bytes and keep the empty digest; texts under LENGTH bytes
-stay whole; rows that repeat a doc_id and text count as one document, not as copies; empty
+stay whole; rows that repeat a doc_id and text count as one document, not as copies;
+rows with a null doc_id are looked at as copies only; empty
 tables give empty results; extra input columns are ignored.
 """
 
@@ -28,7 +29,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keymend.llm.common import (
-    arrow_batches, attach, chunks, covered, documents, n_parts, prefix_hash, ragged, sort_runs,
+    arrow_batches, attach, chunks, covered, documents, id_array, n_parts, prefix_hash, ragged, sort_runs,
     span_hash, stash,
 )
 from keymend.llm.exchange import find_repeats
@@ -116,7 +117,7 @@ def _texts(batches):
     """One row a region; its text only where this chunk has not given it already."""
     for rows, data, off in chunks(batches):
         doc, start, count, rep = _spread(rows)
-        ids = rows.column("doc_id").to_numpy(zero_copy_only=False)
+        ids = id_array(rows.column("doc_id"))
         a = off[:-1][doc] + start
         b = a + count + LENGTH - 1
         body = span_hash(prefix_hash(data), a, b)
@@ -218,7 +219,7 @@ def _hot_strings(rows, data, off):
     first = off[:-1][doc] + start
     at = np.unique(ragged(first, count))
     d = np.searchsorted(off, at, "right") - 1
-    ids = rows.column("doc_id").to_numpy(zero_copy_only=False).astype(np.int64)
+    ids = id_array(rows.column("doc_id"))
     return ids, np.diff(off), d, at - off[:-1][d], span_hash(prefix_hash(data), at, at + LENGTH), None
 
 
