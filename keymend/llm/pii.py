@@ -36,11 +36,12 @@ ADD = 0.9
 ROUNDS = 30
 
 # Base patterns. Possessive and anchored forms of the plain ones, with the same leftmost matches:
-# a run of local-part characters is tried once, at its start or right after a match.
+# a run of local-part characters is tried once, at its start or right after a match. A chain of digits is
+# matched whole or, with under 14 digits, not at all: no place inside it has more of them.
 PATTERNS = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++\.[0-9]++\.[0-9]++\.[0-9]++",
-    "card": r"[0-9](?:[\x20-]?[0-9])++",
+    "card": r"[0-9](?:[\x20-]?[0-9]){13,}+",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 NEEDS = {"email": "@", "ip": ".", "card": None, "phone": "+"}
@@ -102,7 +103,9 @@ def _votes(kind: str, s: Column) -> Column:
     before = F.lower(s["before"])
     said = lambda words: before.rlike(r"(?<![a-z])(?:" + "|".join(words.split()) + r")[a-z]{0,2}[\W_]{0,6}$")
     form = F.lit("1") if kind in KINDS else F.when(s["hit"].rlike(STRICT[kind]), "1").otherwise("-")
-    plausible = F.when(s["hit"].rlike(r"^\W*(\w)(?:\W*\1)*\W*$"), "0").when(F.char_length(s["hit"]) >= 7, "1").otherwise("-")
+    bare = F.regexp_replace(s["hit"], r"\W", "")
+    equal = (bare != "") & (F.replace(bare, F.left(bare, F.lit(1)), F.lit("")) == "")
+    plausible = F.when(equal, "0").when(F.char_length(s["hit"]) >= 7, "1").otherwise("-")
     alone = (F.right(s["before"], F.lit(1)).rlike(r"^[\s\"'(<\[:=]?$")) & (F.coalesce(s["after"], F.lit("")).rlike(r"^[\s\"')>\],.;!?]?$"))
     return F.concat(form, plausible, F.when(said(FOR), "1").otherwise("-"), F.when(said(AGAINST), "0").otherwise("-"),
                     F.when(alone, "1").otherwise("0"))
