@@ -34,6 +34,8 @@ from keymend.llm.common import documents, stash
 KINDS = ("email", "ip", "card", "phone")
 ADD = 0.9
 ROUNDS = 30
+#: Outputs that are gathered at once in a running pass over an array.
+BLOCK = 128
 
 # Base patterns. Possessive and anchored forms of the plain ones, with the same leftmost matches:
 # a run of local-part characters is tried once, at its start or right after a match. A chain of digits is
@@ -63,23 +65,69 @@ FOR = "mail email contact phone tel call mobile fax card visa address host ip ss
 AGAINST = "order page version isbn issue item part no id ref build section figure table chapter model"
 
 
+def _let(x: Column, use) -> Column:
+    """`use` of a value that is worked out once, however often `use` names it."""
+    return F.transform(F.array(x), use)[0]
+
+
+def _scan(items: Column, zero: Column, made: str, step) -> Column:
+    """One output of type `made` per item: step(state, item) gives the next state `at` and the output `one`.
+    Outputs gather in blocks, since an array that grows item by item is copied each time: n items
+    cost n * BLOCK + (n / BLOCK)**2 copied references."""
+    none, blocks = F.expr(f"cast(array() as array<{made}>)"), F.expr(f"cast(array() as array<array<{made}>>)")
+    grown = lambda acc, at, one: F.struct(at.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
+
+    def item(acc, x):
+        return _let(step(acc["at"], x), lambda r: grown(acc, r["at"], r["one"]))
+
+    def run(every):
+        def block(acc, b):
+            part = F.slice(every, b * BLOCK + 1, F.lit(BLOCK))
+            return _let(F.aggregate(part, F.struct(acc["at"].alias("at"), none.alias("out")), item), lambda r: grown(acc, r["at"], r["out"]))
+
+        last = F.floor((F.size(every) - 1) / BLOCK).cast("int")
+        out = F.aggregate(F.sequence(F.lit(0), last), F.struct(zero.alias("at"), blocks.alias("out")), block, lambda acc: F.flatten(acc["out"]))
+        return F.when(F.size(every) > 0, out).otherwise(none)
+
+    return _let(items, run)
+
+
 def _matches(text: Column, pattern: str, needs: str | None) -> Column:
     """start, end (code points, end exclusive), match and the 24 characters before, of every
     leftmost non-overlapping match."""
-    empty = F.expr("cast(array() as array<struct<start:int,end:int,hit:string,before:string,after:string>>)")
-    parts, hits = F.split(text, pattern, -1), F.regexp_extract_all(text, F.lit(pattern), 0)
-    pairs = F.arrays_zip(F.slice(parts, 1, F.size(hits)).alias("p"), hits.alias("m"), F.slice(parts, 2, F.size(hits)).alias("q"))
-
-    def step(acc, x):
-        start = acc["at"] + F.char_length(x["p"])
-        end = start + F.char_length(x["m"])
-        one = F.struct(start.alias("start"), end.alias("end"), x["m"].alias("hit"), F.right(x["p"], F.lit(24)).alias("before"),
-                       F.left(x["q"], F.lit(1)).alias("after"))
-        return F.struct(end.alias("at"), F.concat(acc["out"], F.array(one)).alias("out"))
-
-    found = F.aggregate(pairs, F.struct(F.lit(0).alias("at"), empty.alias("out")), step, lambda a: a["out"])
+    made = "struct<start:int,end:int,hit:string,before:string,after:string>"
+
+    def placed(at, x):
+        start, end = at + x["skip"], at + x["skip"] + x["long"]
+        return F.struct(end.alias("at"), F.struct(start.alias("start"), end.alias("end"), x["hit"], x["before"], x["after"]).alias("one"))
+
+    def found(hits):
+        between = lambda parts: F.transform(hits, lambda h, i: F.struct(
+            F.char_length(parts[i]).alias("skip"), F.char_length(h).alias("long"), h.alias("hit"),
+            F.right(parts[i], F.lit(24)).alias("before"), F.left(parts[i + 1], F.lit(1)).alias("after")))
+        return F.when(F.size(hits) > 0, _scan(_let(F.split(text, pattern, -1), between), F.lit(0), made, placed))
+
     seen = text.rlike("[0-9]") if needs is None else F.contains(text, F.lit(needs))
-    return F.when(seen, found).otherwise(empty)
+    spans = F.when(seen, _let(F.regexp_extract_all(text, F.lit(pattern), 0), found))
+    return F.coalesce(spans, F.expr(f"cast(array() as array<{made}>)"))
+
+
+def _free(base: Column, wide: Column) -> Column:
+    """The wide spans that overlap no base span, by one sweep from either end."""
+    made = "struct<start:int,end:int,wide:int,kind:string,free:boolean>"
+
+    def marked(spans, w):
+        return F.transform(spans, lambda s: F.struct(s["start"], s["end"], F.lit(w).alias("wide"), s["kind"], F.lit(True).alias("free")))
+
+    def sweep(items, zero, state, clear):
+        return _scan(items, zero, made, lambda at, x: F.struct(
+            F.when(x["wide"] == 0, state(at, x)).otherwise(at).alias("at"),
+            F.struct(x["start"], x["end"], x["wide"], x["kind"], (x["free"] & clear(at, x)).alias("free")).alias("one")))
+
+    ahead = sweep(F.array_sort(F.concat(marked(base, 0), marked(wide, 1))), F.lit(0), lambda at, x: F.greatest(at, x["end"]), lambda at, x: at <= x["start"])
+    back = sweep(F.reverse(ahead), F.lit(2**31 - 1), lambda at, x: F.least(at, x["start"]), lambda at, x: at >= x["end"])
+    kept = F.transform(F.filter(back, lambda s: (s["wide"] == 1) & s["free"]), lambda s: F.struct(s["start"], s["end"], s["kind"]))
+    return F.when(F.size(wide) > 0, kept).otherwise(F.expr("cast(array() as array<struct<start:int,end:int,kind:string>>)"))
 
 
 def _digits(x: Column) -> Column:
@@ -181,12 +229,12 @@ def find_pii(docs: DataFrame) -> DataFrame:
     joined = lambda a: F.array_join(F.transform(
         F.array_sort(F.transform(a, lambda s: F.struct(s["start"].alias("a"), rank(s).alias("b"), s["end"].alias("c"), s["kind"].alias("d")))),
         lambda s: F.concat_ws(":", s["d"], s["a"].cast("string"), s["c"].cast("string"))), ",")
-    accepted = F.filter("wide", lambda s: F.concat_ws("|", s["kind"], s["votes"]).isin(good) & ~F.exists(
-        base_spans, lambda t: (t["start"] < s["end"]) & (s["start"] < t["end"])))
-    added = rows.withColumn("added", accepted)
+    accepted = F.filter("wide", lambda s: F.concat_ws("|", s["kind"], s["votes"]).isin(good))
+    plain = lambda a: F.transform(a, lambda s: F.struct(s["start"], s["end"], s["kind"]))
+    added = rows.withColumn("base", plain(base_spans)).withColumn("added", _let(accepted, lambda w: _free(F.col("base"), w)))
     return added.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
-        F.sha2(joined(base_spans), 256).alias("base_sha256"), joined(F.concat(*KINDS, "added")).alias("spans"),
+        F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"),
         F.size("added").cast("long").alias("n_added"))
 
 

@@ -1,6 +1,7 @@
 """Operators against their plain versions, on documents that hold every odd case at once."""
 
 import random
+import re
 import zlib
 
 import numpy as np
@@ -82,6 +83,19 @@ def test_pii(docs):
     assert p["ssn", "11111"] > 0.9 > 0.5 > p["ssn", "-0-00"]
 
 
+def test_pii_with_many_spans(spark):
+    texts = {1: "a@b.c ssn 123-45-6789, 123-45-6789@q.r " * 300, 2: "+1 212 555 1212 4111 1111 1111 1111 1.2.3.4 " * 200, 3: "ssn 123-45-6789\n" * 129, 4: "x" * pii.BLOCK}
+    got = {r["doc_id"]: r for r in pii.find_pii(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
+    for d, t in texts.items():
+        assert tuple(got[d][c] for c in ("n_email", "n_ip", "n_card", "n_phone", "base_sha256")) == brute.pii(t)
+        spans = [(int(a), int(b), k) for k, a, b in (s.split(":") for s in got[d]["spans"].split(",") if s)]
+        base, wide = ([s for s in spans if (s[2] in pii.KINDS) == own] for own in (True, False))
+        assert got[d]["n_added"] == len(wide) and spans == sorted(spans)
+        assert not any(a < q and p < b for a, b, _ in wide for p, q, _ in base)
+        free = [m.start() for m in re.finditer(r"ssn (?=[0-9])", t)]
+        assert [a - 4 for a, _, k in wide if k == "ssn"] == free
+
+
 def test_lm(docs):
     got = table(brown_lm.lm_scores(docs), "held_out", "n_tokens", "n_known", "train_tokens", "base_score", "score")
     for d, want in brute.unigrams(TEXTS).items():
