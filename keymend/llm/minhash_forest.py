@@ -12,11 +12,17 @@
    skipping pairs that are joined already. Components follow from these links.
 4. All orders are walked once more for neighbours in different components; these pairs are
    compared by joining the sets, and the components are merged.
+5. Regions of more than REACH + 1 rows that still hold several components are compared whole: every row
+   outside the region's largest component against every row of the region, in cells of about
+   CELL by CELL rows, by size and by the number of equal minhashes. Pairs with at least AGREE equal ones go to
+   the sets; first the likeliest pair of every two components in a cell, then, once these are merged, all
+   that are still apart. No candidate is capped.
 
 A pair of Jaccard similarity s shares a region in some order with probability
-1 - (1 - s**MIN_PREFIX)**TREES: 0.999998 at s = 0.75. Links are confirmed on full sets, so there
-is no false link; a region never gives more than REACH pairs a row, so a group of n near copies
-costs in proportion to n.
+1 - (1 - s**MIN_PREFIX)**TREES: 0.999998 at s = 0.75, and has under AGREE equal minhashes with a
+probability of about 1e-6. Links are confirmed on full sets, so there is no false link. Steps 2 to 4 give at most
+REACH pairs a row, so a group of n near copies costs in proportion to n; step 5 costs, in a region of
+n rows of which m are outside the largest component, m * n comparisons of signatures, spread over cells.
 
 Cases: null, empty and blank texts have an empty set and are their own component; texts under 5
 words have one shingle; ties cannot arise; rows that repeat a doc_id get the same verdict; a null
@@ -46,6 +52,10 @@ MIN_PREFIX = 2
 REACH = 8
 #: Orders in which full sets are compared on the spot.
 FIRST_TREES = 2
+#: Rows on either side of a cell in which a crowded region is compared.
+CELL = 1024
+#: Equal minhashes, of TREES * DEPTH, from which a pair of a crowded region is compared on full sets.
+AGREE = 72
 _BITS = 54
 
 _rng = np.random.Generator(np.random.PCG64(7))
@@ -296,6 +306,76 @@ def _confirm(batches):
             [batch.column(batch.schema.get_field_index(c)).filter(ok) for c in ("ca", "cb")], ["a", "b"])
 
 
+def _cell(likeliest: bool):
+    """Pairs of a query and a row of a cell, of fitting sizes and different components, with AGREE equal
+    minhashes; only at the first order whose region they share."""
+    def pairs(t: pa.Table) -> pa.Table:
+        ids, size, comp, main = (t.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "n_shingles", "component", "main"))
+        tree = t.column("tree")[0].as_py()
+        sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), ">u4").astype(np.uint32).reshape(-1, TREES * DEPTH)
+        query = t.column("query").to_numpy(zero_copy_only=False).astype(bool)
+        row = np.flatnonzero(~query)
+        found = [np.empty((0, 3), np.int64)]
+        for q in np.flatnonzero(query):
+            # two rows outside the main component meet twice; the one with the smaller id is the row then
+            at = row[_fits(size[row], size[q]) & (comp[row] != comp[q]) & ((comp[row] == main[row]) | (ids[row] < ids[q]))]
+            equal = sig[at] == sig[q]
+            agree = equal.sum(1)
+            for k in range(tree):
+                agree[equal[:, k * DEPTH : k * DEPTH + MIN_PREFIX].all(1)] = 0
+            ok = agree >= AGREE
+            found.append(np.stack([np.full(int(ok.sum()), q), at[ok], agree[ok]], 1))
+        found = np.concatenate(found)
+        if likeliest and len(found):
+            low, high = np.sort(comp[found[:, :2]], axis=1).T
+            order = np.lexsort((-found[:, 2], high, low))
+            new = np.concatenate([[True], (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])])
+            found = found[order[new]]
+        low, high = np.sort(ids[found[:, :2]], axis=1).T
+        return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64())})
+    return pairs
+
+
+def _crowded_pairs(reps: DataFrame, where: DataFrame, likeliest: bool) -> DataFrame:
+    """Candidate pairs (a, b) in different components of `where` (doc_id, component), from the regions
+    that the walks over the orders did not compare whole."""
+    light = reps.join(where, "doc_id")
+    keys = light.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES))))).select(
+        "tree", F.expr(f"substring(signature, tree * {DEPTH * 4} + 1, {MIN_PREFIX * 4})").alias("region"), "doc_id", "component")
+    shares = keys.groupBy("tree", "region", "component").agg(F.count(F.lit(1)).alias("n"))
+    regions = shares.groupBy("tree", "region").agg(
+        F.sum("n").alias("cnt"), F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("kinds"))
+    crowded = stash(regions.filter((F.col("cnt") > REACH + 1) & (F.col("kinds") > 1)).select(
+        "tree", "region", "cnt", F.col("most.component").alias("main"), F.ceil(F.col("cnt") / CELL).cast("int").alias("blocks"),
+        F.ceil((F.col("cnt") - F.col("most.n")) / CELL).cast("int").alias("lots")), "crowded")
+    members = stash(attach(keys, crowded, ["tree", "region"], reps.count() * TREES), "members")
+    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+    place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
+    rows = members.withColumn("block", place("blocks")).withColumn("lot", every("lots")).withColumn("query", F.lit(False))
+    asked = members.filter("component <> main").withColumn("block", every("blocks")).withColumn("lot", place("lots")).withColumn("query", F.lit(True))
+    cells = rows.unionByName(asked).join(reps, "doc_id").select(
+        "tree", "region", "block", "lot", "query", "doc_id", "component", "main", "n_shingles", "signature")
+    return stash(cells.groupBy("tree", "region", "block", "lot").applyInArrow(_cell(likeliest), "a long, b long"), "crowded-pairs")
+
+
+def _merged(where: DataFrame, links: DataFrame) -> DataFrame:
+    """`where` (doc_id, component) after links between components."""
+    whole = components(links).select(F.col("node").alias("component"), F.col("component").alias("whole"))
+    return stash(where.join(whole, "component", "left").select("doc_id", F.coalesce("whole", "component").alias("component")), "where")
+
+
+def _confirmed(pairs: DataFrame, where: DataFrame, sets: DataFrame) -> DataFrame:
+    """Links between components from candidate pairs of documents, confirmed on full sets."""
+    side = where.join(sets, "doc_id")
+    both = (pairs.join(side.select(F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("shingles").alias("sa")), "a")
+            .join(side.select(F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("shingles").alias("sb")), "b"))
+    return both.mapInArrow(_confirm, "a long, b long")
+
+
+def _sets_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    return stash(texts.join(ids, "doc_id").mapInArrow(_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
+
+
 def minhash_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text)."""
     arrow_batches(docs.sparkSession)
@@ -309,7 +389,7 @@ def minhash_dedup(docs: DataFrame) -> DataFrame:
     # documents with neighbours, and their sets
     order = _in_order(_trees(reps, range(TREES), "doc_id", "n_shingles"))
     near = stash(order.mapInArrow(_with_neighbour, "doc_id long").distinct(), "neighbours")
-    sets = stash(texts.join(near, "doc_id").mapInArrow(_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
+    sets = _sets_of(texts, near)
     near = stash(reps.join(near, "doc_id", "left_semi"), "near-signatures")
     # links on the spot in the first orders
     first = stash(_trees(near.join(sets, "doc_id"), range(FIRST_TREES), "doc_id", "n_shingles", "shingles"), "first-orders")
@@ -322,13 +402,19 @@ def minhash_dedup(docs: DataFrame) -> DataFrame:
     walked = stash(_in_order(_trees(placed, range(TREES), "doc_id", "n_shingles", "component")).mapInArrow(_pairs_between, _PAIR), "walked")
     at_edges = walked.filter("b is null").groupBy("edge").applyInArrow(_pairs_at_edge, "a long, b long")
     pairs = walked.filter("b is not null").select("a", "b").unionByName(at_edges).distinct()
-    side = placed.select("doc_id", "component").join(sets, "doc_id")
-    pairs = (pairs.join(side.select(F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("shingles").alias("sa")), "a")
-             .join(side.select(F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("shingles").alias("sb")), "b"))
-    merged = components(pairs.mapInArrow(_confirm, "a long, b long"))
-    final = placed.select("doc_id", "component").join(merged.withColumnRenamed("component", "whole"),
-                                                       F.col("component") == F.col("node"), "left")
-    final = final.select(F.col("doc_id").alias("rep"), F.coalesce("whole", "component").alias("component"))
+    where = _merged(placed.select("doc_id", "component"), _confirmed(pairs, placed.select("doc_id", "component"), sets))
+    # crowded regions whole
+    where = stash(reps.select("doc_id").join(where, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component")), "where")
+    tried = None
+    for likeliest in (True, False):
+        pairs = _crowded_pairs(reps, where, likeliest)
+        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
+        if pairs.isEmpty():
+            break
+        tried = pairs
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
+        where = _merged(where, _confirmed(pairs, where, _sets_of(texts, ids)))
+    final = where.withColumnRenamed("doc_id", "rep")
     labels = stash(classes.join(final, "rep", "left").select("class", "cnt", F.coalesce("component", "rep").alias("component_id")), "labels")
     rows = attach(some, labels, "class", light.count()).select("doc_id", "n_shingles", "component_id")
     rows = rows.unionByName(light.filter("n_shingles = 0").select("doc_id", "n_shingles", F.col("doc_id").alias("component_id")))

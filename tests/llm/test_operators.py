@@ -56,6 +56,26 @@ def test_near(docs):
     assert table(minhash_forest.minhash_dedup(docs), "n_shingles", "component_id", "kept") == brute.near(TEXTS)
 
 
+def crowd(n=600):
+    """Documents that share most of their words, so that regions are crowded; each is just similar enough to one
+    other, whose id is far away."""
+    r = random.Random(11)
+    words = lambda n: ["".join(r.choice("abcdefghij") for _ in range(7)) for _ in range(n)]
+    common, ids, out = words(140), r.sample(range(10**6), n), []
+    for i in range(0, n, 2):
+        own = words(12)
+        out += [(ids[i + j], " ".join(common + own + words(24))) for j in range(2)]
+    return out
+
+
+def test_near_in_crowded_regions(spark):
+    texts = crowd()
+    got = table(minhash_forest.minhash_dedup(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)), "n_shingles", "component_id", "kept")
+    want = brute.near(texts)
+    assert len({c for _, c, _ in want.values()}) == len(texts) // 2
+    assert got == want
+
+
 def test_substring(docs):
     assert table(substring_dedup.substring_dedup(docs), "n_words", "n_removed", "kept_sha256") == brute.substring(TEXTS)
 
