@@ -3,11 +3,14 @@
 1. Frequent words: every scan partition's most frequent training words are added up; the TOP most frequent
    get their bigram counts with each other, complete over all training texts.
 2. Exchange clustering on the driver (TOP is fixed, so is the table): each word moves to the class that raises the likelihood of
-   the class bigrams most, until no word moves. All other words fall into classes by the power of two of their count;
-   words seen once and words never seen share a class, split by how often held-out tokens of it are new.
+   the class bigrams most, until no word moves. This gives the initial classes.
 3. Exact counts of all words: texts are turned into blocks of word numbers; each block sends its distinct
-   words with their training counts to buckets by hash, which add up and answer. So the traffic and the
-   state grow with the corpus' vocabulary, and no task or machine holds it whole.
+   words with their training counts, and how often they stand before and after each initial class, to buckets by
+   hash, which add up and answer. So the traffic and the state grow with the corpus' vocabulary, and no task or machine holds it whole.
+   Every further word seen ASSIGN times or more goes to the class whose likelihood gains most from its added-up
+   contexts; so the clustered vocabulary grows with the corpus. Words seen less often, and words that never
+   stand beside a frequent word or a text's edge, fall into classes by the power of two of their count; words seen once and
+   words never seen share a class, split by how often held-out tokens of it are new.
 4. Class sequences of the training texts give class-transition counts, smoothed with the class
    frequencies; each text is scored from its class sequence and its words' emissions.
 
@@ -29,6 +32,8 @@ from keymend.llm.common import Words, add_slices, arrow_batches, chunks, documen
 #: Words that take part in the exchange, and the classes they go to.
 TOP = 1000
 CLASSES = 48
+#: Training count from which the other words go to a class by their contexts.
+ASSIGN = 4
 SWEEPS = 12
 #: Classes: exchange classes, the end token, then words by the power of two of their count (0: seen once or never).
 END = CLASSES
@@ -66,8 +71,8 @@ def _merged(keys, counts):
     return keys[order][at], np.add.reduceat(counts[order], at) if len(at) else counts[:0]
 
 
-_ROW = "kind int, block long, bucket int, a binary, b binary, c binary, d binary"
-_ROW_TYPES = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+_ROW = "kind int, block long, bucket int, a binary, b binary, c binary, d binary, cuts binary"
+_ROW_TYPES = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 5]
 _ROW_NAMES = [x.split()[0] for x in _ROW.split(", ")]
 
 
@@ -120,18 +125,18 @@ class _Block:
             for col, v in zip(out, row, strict=True):
                 col.append(v)
 
-        put(0, block, -1, ids.astype("<i8").tobytes(), (size + 1).astype("<i8").tobytes(), held.tobytes(), _planes(seq))
         cuts = np.searchsorted(to, np.arange(buckets + 1))
+        put(0, block, -1, ids.astype("<i8").tobytes(), (size + 1).astype("<i8").tobytes(), held.tobytes(), _planes(seq), cuts.astype("<i8").tobytes())
         for b in range(buckets):
             if cuts[b] < cuts[b + 1]:
                 part = rest[cuts[b] : cuts[b + 1]]
-                put(1, block, b, u[part].tobytes(), count[part].tobytes(), None, None)
+                put(1, block, b, u[part].tobytes(), count[part].tobytes(), None, None, None)
         before = np.concatenate([[TOP], seq[:-1]])
         use = np.repeat(~held, size + 1)
         pair = use & (before <= TOP) & (seq <= TOP)
         code, n = np.unique(before[pair] * (TOP + 1) + seq[pair], return_counts=True)
         single = np.bincount(seq[use & (seq <= TOP)], minlength=TOP + 1)
-        put(2, block, -1, code.astype("<i8").tobytes(), n.astype("<i8").tobytes(), single.astype("<i8").tobytes(), None)
+        put(2, block, -1, code.astype("<i8").tobytes(), n.astype("<i8").tobytes(), single.astype("<i8").tobytes(), None, None)
         yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _ROW_TYPES, strict=True)], _ROW_NAMES)
 
 
@@ -153,27 +158,114 @@ def _band(c: np.ndarray) -> np.ndarray:
     return np.where(c < 2, 0, np.floor(np.log2(np.maximum(c, 1))).astype(np.int64))
 
 
-def _totals(t: pa.Table) -> pa.Table:
-    """A bucket's answers: the training count of each word of each message; and its sums by band
-    (block null): tokens and types."""
-    block, keys, counts = (t.column(c).to_pylist() for c in ("block", "a", "b"))
-    bucket = t.column("bucket")[0].as_py()
-    flat = np.concatenate([np.frombuffer(k, np.uint64) for k in keys])
-    own = np.concatenate([np.frombuffer(c, "<u4") for c in counts]).astype(np.int64)
-    order = np.argsort(flat, kind="stable")
-    at, length = sort_runs(flat[order])
-    total = np.add.reduceat(own[order], at)
-    answer = np.empty(len(flat), np.int64)
-    answer[order] = np.repeat(total, length)
-    cuts = np.cumsum([0, *(len(k) // 8 for k in keys)])
-    rows = [(b, bucket, answer[i:j].astype("<u4").tobytes(), None, None, None) for b, i, j in zip(block, cuts[:-1], cuts[1:], strict=True)]
-    seen = total[total > 0]
-    band = np.where(seen == 1, 0, _band(seen))
-    for k in np.unique(band):
-        rows.append((None, bucket, None, int(k), int(seen[band == k].sum()), int((band == k).sum())))
-    names = ["block", "bucket", "counts", "band", "tokens", "types"]
-    types = [pa.int64(), pa.int32(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
-    return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names)
+def _small(x: np.ndarray) -> bytes:
+    """Four byte planes of counts, most of which are small."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def _from_small(b: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(b, np.uint8).reshape(4, -1).T).view("<u4").reshape(-1).astype(np.int64)
+
+
+#: Contexts of a word: the initial class or text's edge before it, then those after it.
+SIDES = 2 * (CLASSES + 1)
+
+
+def _contexts(top_class: np.ndarray):
+    """A block's messages: for each bucket's words, in the order of its counts, how many contexts each
+    has (a), which (b) and how often (c), in the training texts."""
+    def send(batches):
+        for rows in batches:
+            out = [[] for _ in range(5)]
+            col = {c: rows.column(rows.schema.get_field_index(c)).to_pylist() for c in ("block", "b", "c", "d", "cuts")}
+            for block, size, held, seq, cuts in zip(*col.values(), strict=True):
+                seq, cuts = _from_planes(seq), np.frombuffer(cuts, "<i8")
+                use = np.repeat(~np.frombuffer(held, bool), np.frombuffer(size, "<i8"))
+                known = np.append(top_class, END)[np.minimum(seq, TOP)]
+                # every text ends with the end token, so each begins after one and no step of a text leaves it
+                codes = []
+                for side, near in ((0, np.concatenate([[END], known[:-1]])), (1, np.append(known[1:], END))):
+                    by = np.concatenate([[TOP], seq[:-1]]) if not side else np.append(seq[1:], TOP)
+                    pick = use & (seq > TOP) & (by <= TOP)
+                    codes.append((seq[pick] - TOP - 1) * SIDES + side * (CLASSES + 1) + near[pick])
+                code, n = np.unique(np.concatenate(codes), return_counts=True)
+                word, slot = code // SIDES, code % SIDES
+                at = np.searchsorted(word, cuts)
+                for b in np.flatnonzero(np.diff(at)):
+                    i, j = at[b], at[b + 1]
+                    per = np.bincount(word[i:j] - cuts[b], minlength=cuts[b + 1] - cuts[b])
+                    for c, v in zip(out, (block, int(b), _small(per), slot[i:j].astype(np.uint8).tobytes(), _small(n[i:j])), strict=True):
+                        c.append(v)
+            types = [pa.int64(), pa.int32(), *[pa.binary()] * 3]
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, types, strict=True)], ["block", "bucket", "per", "slot", "n"])
+    return send
+
+
+def _ent(x):
+    return x * np.log(np.maximum(x, 1))
+
+
+def assign(table: np.ndarray, word: np.ndarray, slot: np.ndarray, n: np.ndarray, words: int) -> np.ndarray:
+    """For each of `words` words with contexts (word, slot, n; sorted by word), the class whose likelihood in the class
+    bigrams `table` of the initial classes gains most; -1 for words without contexts."""
+    k = CLASSES
+    best = np.full(words, -1, np.int64)
+    after = slot > k
+    other = np.where(after, slot - k - 1, slot)
+    base = np.concatenate([table[:, :k], table.T[:, :k]])  # by slot: counts with each class, for a word after it and before it
+    flat = _ent(base)
+    row, col = table.sum(1)[:k], table.sum(0)[:k]
+    at, length = sort_runs(word)
+    for i in range(0, len(at), 4096):
+        a, m = at[i : i + 4096], length[i : i + 4096]
+        part = slice(a[0], a[-1] + m[-1])
+        line = other[part] + (k + 1) * after[part]
+        count = n[part, None].astype(float)
+        gain = np.add.reduceat(_ent(base[line] + count) - flat[line], a - a[0], axis=0)
+        out_n = np.add.reduceat(n[part] * after[part], a - a[0])[:, None]
+        in_n = np.add.reduceat(n[part] * ~after[part], a - a[0])[:, None]
+        gain -= _ent(row + out_n) - _ent(row) + _ent(col + in_n) - _ent(col)
+        best[word[a]] = np.argmax(gain, axis=1)
+    return best
+
+
+def _totals(table: np.ndarray):
+    """A bucket's answers: the training count and the class of each word of each message; and its sums by
+    class (block null): tokens and types."""
+    def add(t: pa.Table) -> pa.Table:
+        col = {c: t.column(c).to_pylist() for c in ("block", "a", "b", "per", "slot", "n")}
+        bucket = t.column("bucket")[0].as_py()
+        mail = [i for i, k in enumerate(col["a"]) if k is not None]
+        keys = [np.frombuffer(col["a"][i], np.uint64) for i in mail]
+        cuts = np.cumsum([0, *map(len, keys)])
+        unique, which = np.unique(np.concatenate(keys), return_inverse=True)
+        own = np.concatenate([np.frombuffer(col["b"][i], "<u4") for i in mail]).astype(np.int64)
+        total = np.zeros(len(unique), np.int64)
+        np.add.at(total, which, own)
+        kind = END + 1 + _band(total)
+        first = {col["block"][i]: c for i, c in zip(mail, cuts[:-1], strict=True)}
+        codes, counts = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for block, per, slot, n in zip(col["block"], col["per"], col["slot"], col["n"], strict=True):
+            if per is not None:
+                per = _from_small(per)
+                word = which[first[block] : first[block] + len(per)].repeat(per)
+                often = total[word] >= ASSIGN
+                codes.append(word[often] * SIDES + np.frombuffer(slot, np.uint8)[often])
+                counts.append(_from_small(n)[often])
+        code, n = _merged(np.concatenate(codes).astype(np.uint64), np.concatenate(counts))
+        code = code.astype(np.int64)
+        best = assign(table, code // SIDES, code % SIDES, n, len(unique))
+        kind = np.where(best >= 0, best, kind)
+        rows = [(col["block"][i], bucket, total[which[a:b]].astype("<u4").tobytes(), kind[which[a:b]].astype(np.uint8).tobytes(), None, None, None)
+                for i, a, b in zip(mail, cuts[:-1], cuts[1:], strict=True)]
+        seen = total > 0
+        for k in np.unique(kind[seen]):
+            of = seen & (kind == k)
+            rows.append((None, bucket, None, None, int(k), int(total[of].sum()), int(of.sum())))
+        names = ["block", "bucket", "counts", "kinds", "kind", "tokens", "types"]
+        types = [pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int64(), pa.int64()]
+        return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows, strict=True), types, strict=True)], names)
+    return add
 
 
 def _add_pairs(key: str):
@@ -239,15 +331,15 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
 class Model:
     """What scoring needs besides the counts in the answers; its size is fixed."""
 
-    def __init__(self, top_n: np.ndarray, classes: np.ndarray, bands: dict[int, tuple[int, int]]):
-        self.n = int(top_n.sum()) + sum(t for t, _ in bands.values())
-        self.types = int((top_n > 0).sum()) + sum(v for _, v in bands.values())
+    def __init__(self, top_n: np.ndarray, classes: np.ndarray, kinds: dict[int, tuple[int, int]]):
+        self.n = int(top_n.sum()) + sum(t for t, _ in kinds.values())
+        self.types = int((top_n > 0).sum()) + sum(v for _, v in kinds.values())
         self.top_n = top_n
         self.top_class = np.append(classes, END).astype(np.int64)
         self.class_n = np.zeros(KINDS)
         np.add.at(self.class_n, self.top_class, top_n)
-        for b, (tokens, _) in bands.items():
-            self.class_n[END + 1 + b] = tokens
+        for k, (tokens, _) in kinds.items():
+            self.class_n[k] += tokens
 
     def emission(self, count: np.ndarray, kind: np.ndarray, new: float) -> np.ndarray:
         p = count / np.maximum(self.class_n[kind], 1)
@@ -264,9 +356,10 @@ def _score_blocks(m: Model, new: float):
         held = np.frombuffer(col["c"][head], bool)
         seq = _from_planes(col["d"][head])
         rest = np.concatenate([np.frombuffer(col["counts"][i], "<u4") for _, i in answers] + [np.empty(0, np.uint32)]).astype(np.int64)
+        kinds = np.concatenate([np.frombuffer(col["kinds"][i], np.uint8) for _, i in answers] + [np.empty(0, np.uint8)]).astype(np.int64)
         pad = TOP + 1 - len(m.top_n)
         count = np.concatenate([m.top_n[:-1], np.zeros(pad, np.int64), m.top_n[-1:], rest])
-        kind = np.concatenate([m.top_class[:-1], np.zeros(pad, np.int64), m.top_class[-1:], END + 1 + _band(rest)])
+        kind = np.concatenate([m.top_class[:-1], np.zeros(pad, np.int64), m.top_class[-1:], kinds])
         base = np.log10((count + 1) / (m.n + m.types + 1))
         emit = m.emission(count, kind, new)
         start = np.cumsum(size) - size
@@ -322,11 +415,6 @@ def lm_scores(docs: DataFrame) -> DataFrame:
     top = np.sort(top)
     buckets = n_parts(spark)
     blocks = stash(texts.mapInArrow(_blocks(buckets, top), _ROW), "word-blocks", "zstd")
-    answers = blocks.filter("kind = 1").groupBy("bucket").applyInArrow(
-        _totals, "block long, bucket int, counts binary, band int, tokens long, types long")
-    answers = stash(answers, "word-counts", "zstd")
-    bands = {r["band"]: (r["tokens"], r["types"]) for r in answers.filter("block is null").groupBy("band").agg(
-        F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).collect()}  # at most BANDS rows
     step = blocks.filter("kind = 2").select(F.pmod(F.xxhash64("block"), F.lit(64)).cast("int").alias("at"), "a", "b", "c")
     step = step.groupBy("at").applyInArrow(_add_pairs("at"), "at int, a binary, b binary, c binary")
     sums = step.withColumn("at", F.lit(0)).groupBy("at").applyInArrow(_add_pairs("at"), "at int, a binary, b binary, c binary").collect()
@@ -336,14 +424,23 @@ def lm_scores(docs: DataFrame) -> DataFrame:
         single = np.frombuffer(r["c"], "<i8")
     use = np.append(np.arange(len(top)), TOP)
     classes = exchange(pairs[np.ix_(use, use)], CLASSES)
-    model = Model(single[use], classes, bands)
+    hot = np.eye(CLASSES + 1)[np.append(classes, END)]
+    edges = hot.T @ pairs[np.ix_(use, use)] @ hot
+    known = blocks.filter("kind = 0").select("block", "b", "c", "d", "cuts").mapInArrow(
+        _contexts(np.append(classes, np.full(TOP - len(classes), END))), "block long, bucket int, per binary, slot binary, n binary")
+    words = blocks.filter("kind = 1").select("block", "bucket", "a", "b").unionByName(known, allowMissingColumns=True)
+    answers = stash(words.groupBy("bucket").applyInArrow(
+        _totals(edges), "block long, bucket int, counts binary, kinds binary, kind int, tokens long, types long"), "word-counts", "zstd")
+    kinds = {r["kind"]: (r["tokens"], r["types"]) for r in answers.filter("block is null").groupBy("kind").agg(
+        F.sum("tokens").alias("tokens"), F.sum("types").alias("types")).collect()}  # at most KINDS rows
+    model = Model(single[use], classes, kinds)
     # of rare held-out tokens, the part that is new: words seen once would each have been new, those seen twice not
-    once = bands.get(0, (0, 0))[0]
-    twice = bands.get(1, (0, 0))[1]
+    once = kinds.get(END + 1, (0, 0))[0]
+    twice = kinds.get(END + 2, (0, 0))[1]
     new = once / (once + 2.0 * twice) if once else 1.0
     new = min(max(new, 0.05), 0.95) if once else 1.0
-    mail = blocks.filter("kind = 0").select("block", "bucket", "a", "b", "c", "d", F.lit(None).cast("binary").alias("counts"))
-    mail = mail.unionByName(answers.filter("block is not null").select("block", "bucket", "counts"), allowMissingColumns=True)
+    mail = blocks.filter("kind = 0").select("block", "bucket", "a", "b", "c", "d", F.lit(None).cast("binary").alias("counts"), F.lit(None).cast("binary").alias("kinds"))
+    mail = mail.unionByName(answers.filter("block is not null").select("block", "bucket", "counts", "kinds"), allowMissingColumns=True)
     scored = stash(mail.groupBy("block").applyInArrow(_score_blocks(model, new), _SCORED), "class-sequences", "zstd")
     moves = add_slices(scored.filter("not held_out").select("classes").mapInArrow(_transitions, "slice int, values binary"), "<f8")
     table = moves[0].reshape(KINDS, KINDS) if 0 in moves else np.zeros((KINDS, KINDS))

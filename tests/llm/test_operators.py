@@ -122,6 +122,22 @@ def test_lm(docs):
         assert got[d][:4] == want[:4] and got[d][4] == pytest.approx(want[4]) and got[d][5] < 0
 
 
+def test_words_outside_the_exchange_are_clustered_by_context(spark):
+    """Two kinds of words alternate, far more of them than the exchange takes."""
+    r = random.Random(3)
+    often = [[f"{k}{i}" for i in range(500)] for k in "ab"]
+    seldom = [[f"{k}{i}" for i in range(500, 900)] for k in "ab"]
+    pick = lambda k: r.choice(often[k] if r.random() < 0.85 else seldom[k])
+    rows = [(d, " ".join(pick(i % 2) for i in range(200))) for d in range(400)]
+    a, b = ([w for w in r.sample(x, 200)] for x in seldom)
+    turns = " ".join(w for pair in zip(a, b, strict=True) for w in pair)
+    runs = " ".join(w for i in range(0, 200, 2) for w in (a[i], a[i + 1], b[i], b[i + 1]))
+    held = [d for d in range(1000, 1100) if zlib.crc32(str(d).encode()) % 7 == 2][:2]
+    rows += list(zip(held, (turns, runs), strict=True))
+    got = table(brown_lm.lm_scores(spark.createDataFrame(rows, "doc_id long, text string").repartition(5)), "score")
+    assert got[held[0]][0] > got[held[1]][0] + 20
+
+
 def test_exchange_finds_alternation():
     seq = [random.Random(1).choice([0, 1, 2]) if i % 2 else random.Random(i).choice([3, 4, 5]) for i in range(4000)]
     pairs = np.zeros((7, 7))
