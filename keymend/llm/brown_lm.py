@@ -1,7 +1,6 @@
 """LM scoring with a Brown class model: P(w | w') = P(class(w) | class(w')) P(w | class(w)).
 
-1. Frequent words: every scan partition's most frequent training words are added up; the TOP most frequent
-   get their bigram counts with each other, complete over all training texts.
+1. Frequent words: the exact training counts of all words are added up by word; the TOP most frequent (ties by hash) get their bigram counts with each other, complete over all training texts.
 2. Exchange clustering on the driver (TOP is fixed, so is the table): each word moves to the class that raises the likelihood of
    the class bigrams most, until no word moves. This gives the initial classes.
 3. Exact counts of all words: texts are turned into blocks of word numbers; each block sends its distinct
@@ -32,9 +31,10 @@ from keymend.llm.common import Words, add_slices, arrow_batches, chunks, documen
 #: Words that take part in the exchange, and the classes they go to.
 TOP = 1000
 CLASSES = 48
+#: Word counts of chunks that a scan task holds before it gives them out.
+HELD_WORDS = 2_000_000
 #: Training count from which the other words go to a class by their contexts.
 ASSIGN = 4
-SWEEPS = 12
 #: Classes: exchange classes, the end token, then words by the power of two of their count (0: seen once or never).
 END = CLASSES
 BANDS = 48
@@ -49,20 +49,22 @@ def held_out():
 
 
 def _frequent(batches):
-    """A partition's most frequent training words."""
+    """Training counts of words, given out whenever many are held; so a word may come more than once."""
     keys, counts = np.empty(0, np.uint64), np.empty(0, np.int64)
     for rows, data, off in chunks(batches):
         w = Words(data, off, lower=True)
         train = ~np.asarray(rows.column("held_out").to_numpy(zero_copy_only=False), bool)
         u, c = np.unique(w.hash[train[w.doc]], return_counts=True)
         keys, counts = np.concatenate([keys, u]), np.concatenate([counts, c])
-        if len(keys) > 1_000_000:
-            keys, counts = _merged(keys, counts)
-            best = np.argsort(-counts, kind="stable")[:200_000]
-            keys, counts = keys[best], counts[best]
+        if len(keys) > HELD_WORDS:
+            yield _counted(keys, counts)
+            keys, counts = keys[:0], counts[:0]
+    yield _counted(keys, counts)
+
+
+def _counted(keys, counts):
     keys, counts = _merged(keys, counts)
-    best = np.argsort(-counts, kind="stable")[: 8 * TOP]
-    yield pa.RecordBatch.from_arrays([pa.array(keys[best].view(np.int64)), pa.array(counts[best])], ["word", "n"])
+    return pa.RecordBatch.from_arrays([pa.array(keys.view(np.int64)), pa.array(counts)], ["word", "n"])
 
 
 def _merged(keys, counts):
@@ -279,9 +281,10 @@ def _add_pairs(key: str):
     return add
 
 
-def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarray:
+def exchange(pairs: np.ndarray, classes: int) -> np.ndarray:
     """Classes of the words of a bigram count table (last row and column: the end token, which keeps a
-    class of its own) by exchange clustering."""
+    class of its own) by exchange clustering, until no word moves. Each move raises the likelihood by more than what
+    rounding can feign, so that the moves end."""
     n = len(pairs) - 1
     k = min(classes, max(n, 1))
     of = np.append(np.arange(n) % k, k)
@@ -295,7 +298,10 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
     def ent(x):
         return x * np.log(np.maximum(x, 1))
 
-    for _ in range(sweeps):
+    total = pairs.sum()
+    least = 1e-9 + 1e-12 * total * np.log(max(total, 2))
+    moved = 1
+    while moved:
         moved = 0
         for w in range(n):
             a = of[w]
@@ -311,7 +317,7 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
             gain += ent(d + r + l + own[w]) - ent(d + r) - ent(d + l) + ent(d)
             gain -= ent(row + out_n[w]) - ent(row) + ent(col + in_n[w]) - ent(col)
             b = int(np.argmax(gain[:k]))
-            if gain[b] <= gain[a] + 1e-9:
+            if gain[b] <= gain[a] + least:
                 b = a
             table[b, :] += r
             table[:, b] += l
@@ -323,8 +329,6 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
                 left[:, b] += pairs[w]
                 right[:, a] -= pairs[:, w]
                 right[:, b] += pairs[:, w]
-        if not moved:
-            break
     return of[:n]
 
 

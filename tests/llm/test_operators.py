@@ -3,8 +3,10 @@
 import random
 import re
 import zlib
+from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
@@ -138,6 +140,35 @@ def test_words_outside_the_exchange_are_clustered_by_context(spark):
     assert got[held[0]][0] > got[held[1]][0] + 20
 
 
+def test_frequent_words_are_counted_exactly():
+    """20,000 words stand three times each; one more is seen four times, once in every run of the others."""
+    words = [f"w{i}" for i in range(20000)]
+    texts = [" ".join([*words, "x"])] * 3 + ["x"]
+    batch = pa.RecordBatch.from_pydict({"text": texts, "held_out": [False] * 4})
+    got = Counter()
+    for b in brown_lm._frequent([batch]):
+        for word, n in zip(b.column("word").to_pylist(), b.column("n").to_pylist(), strict=True):
+            got[word] += n
+    assert sorted(got.values()) == [3] * 20000 + [4]
+
+
+def test_exchange_ends_where_no_word_moves():
+    r = np.random.default_rng(4)
+    pairs = r.poisson(r.gamma(0.3, 2, (201, 201))).astype(float)
+
+    def likelihood(of):
+        hot = np.eye(13)[np.append(of, 12)]
+        t = hot.T @ pairs @ hot
+        e = lambda x: (x * np.log(np.maximum(x, 1))).sum()
+        return e(t) - e(t.sum(0)) - e(t.sum(1))
+
+    of = brown_lm.exchange(pairs, 12)
+    best = likelihood(of)
+    for w in range(0, 200, 5):
+        for c in range(12):
+            assert likelihood(np.where(np.arange(200) == w, c, of)) <= best + 1e-6
+
+
 def test_exchange_finds_alternation():
     seq = [random.Random(1).choice([0, 1, 2]) if i % 2 else random.Random(i).choice([3, 4, 5]) for i in range(4000)]
     pairs = np.zeros((7, 7))
