@@ -523,3 +523,11 @@ def event_clamp(s: Star) -> DataFrame:
 def hub_versions(s: Star) -> DataFrame:
     w = Window.partitionBy("part_key").orderBy("order_id", "line_id", "supplier_key", "event_date")
     return s.g_hub().filter("order_id % 10 = 0").select("order_id", "part_key", F.row_number().over(w).cast("long").alias("version"))
+
+
+@query("""select o.order_id, o.part_key, row_number() over (partition by o.part_key order by o.order_id, o.line_id, o.supplier_key, o.event_date) as version
+  from g_hub o""")
+def hub_versions_whole(s: Star) -> DataFrame:
+    """Versions over all of the hub; hub_versions numbers only the tenth of it that its SQL names."""
+    w = Window.partitionBy("part_key").orderBy("order_id", "line_id", "supplier_key", "event_date")
+    return s.g_hub().select("order_id", "part_key", F.row_number().over(w).cast("long").alias("version"))

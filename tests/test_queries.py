@@ -21,6 +21,16 @@ def test_expected_values(spark):
     assert q["deterministic_sk"](spark, DATA).select("sk").distinct().count() == 150
 
 
+def test_hub_versions_number_every_row(spark):
+    q = queries.QUERIES
+    got = [tuple(r) for r in q["hub_versions_whole"](spark, DATA).select("part_key", "version").collect()]
+    assert len(got) == spark.read.parquet(f"{DATA}/lineitem.parquet").count()
+    most = {}
+    for part, version in got:
+        most[part] = max(most.get(part, 0), version)
+    assert sorted(got) == sorted((p, v) for p, n in most.items() for v in range(1, n + 1))
+
+
 def test_entry(spark):
     import __spark_entry__
 
