@@ -2,8 +2,10 @@
 temperature-calibrated probabilities.
 
 1. Random indexing: every word (lower case) and every word shape (runs of upper case, lower case, digits and
-   punctuation) has a fixed sparse random vector. The context vector of a word or shape, held by
-   hash in BUCKETS rows, is the sum of its neighbours' random vectors over all documents.
+   punctuation) has a fixed sparse random vector. The context vector of a word or shape is the sum of its
+   neighbours' random vectors over all documents, a vector of its own for each. Texts are turned into
+   blocks of item numbers; each block sends the sums of its distinct words and shapes to buckets by hash, which add
+   up and answer. So the table grows with the vocabulary, and no task or machine holds it whole.
 2. A document's features are the mean normalised context vectors of its words and of its shapes,
    and the logarithm of its length. All texts are read whole.
 3. The network (features -> HIDDEN -> 1) learns on the driver from at most SAMPLE labelled rows (those with
@@ -20,28 +22,29 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keymend.llm.common import Words, add_slices, arrow_batches, chunks, documents, mix, prefix_hash, span_hash, stash
+from keymend.llm.common import Words, arrow_batches, chunks, documents, id_array, ids_back, mix, n_parts, prefix_hash, span_hash, stash
 
-BUCKETS = 4096
 DIM = 32
 SAMPLE = 20000
 HIDDEN = 32
 EPOCHS = 60
-#: Rows of the context table that travel together.
-SLICE = 256
+#: Words gathered before a block is closed, and words whose vectors are pooled at once.
+BLOCK_TOKENS = 1_500_000
+POOL_TOKENS = 200_000
 
 _SHAPE = np.arange(256) % 128 + 3
 _SHAPE[65:91], _SHAPE[97:123], _SHAPE[48:58], _SHAPE[128:] = 0, 1, 2, 1
 
 
 def _tokens(data: np.ndarray, off: np.ndarray):
-    """Words of a chunk with the bucket of each word and of its shape."""
+    """Words of a chunk with the key of each word and of its shape: 64 bits, even for words and odd for shapes."""
     w = Words(data, off, lower=True)
     if not len(w.start):
-        return w, np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.uint64), np.empty(0, np.uint64)
+        return w, np.empty(0, np.uint64), np.empty(0, np.uint64)
     kind = _SHAPE[data].astype(np.uint8)
     new = np.ones(len(data), bool)
     new[1:] = kind[1:] != kind[:-1]
@@ -49,51 +52,154 @@ def _tokens(data: np.ndarray, off: np.ndarray):
     run = np.concatenate([[0], np.cumsum(new)])
     shape = span_hash(prefix_hash(kind[new]), run[w.start], run[w.end])
     word = mix(w.hash ^ np.uint64(0xA5A5A5A5))
-    return w, (word % np.uint64(BUCKETS)).astype(np.int64), (shape % np.uint64(BUCKETS)).astype(np.int64) + BUCKETS, word, shape
-
-
-def _contexts(batches):
-    table = np.zeros(2 * BUCKETS * DIM)
-    for _, data, off in chunks(batches):
-        w, bw, bs, word, shape = _tokens(data, off)
-        together = w.doc[1:] == w.doc[:-1]
-        for bucket, h in ((bw, word), (bs, shape)):
-            for nonzero in range(2):
-                v = mix(h + np.uint64(nonzero + 1))
-                dim = (v % np.uint64(DIM)).astype(np.int64)
-                sign = np.where(v >> np.uint64(63), 1.0, -1.0)
-                for to, of in ((slice(None, -1), slice(1, None)), (slice(1, None), slice(None, -1))):
-                    table += np.bincount(bucket[to] * DIM + dim[of], sign[of] * together, len(table)) if len(bucket) > 1 else 0
-    for i, part in enumerate(table.reshape(-1, SLICE * DIM)):
-        yield pa.RecordBatch.from_arrays([pa.array([i], pa.int32()), pa.array([part.astype("<f4").tobytes()], pa.binary())], ["slice", "values"])
-
-
-def context_vectors(docs: DataFrame) -> np.ndarray:
-    """Normalised context vectors, 2 * BUCKETS x DIM."""
-    parts = docs.select("text").mapInArrow(_contexts, "slice int, values binary")
-    table = np.zeros((2 * BUCKETS // SLICE, SLICE * DIM), np.float32)
-    for i, values in add_slices(parts, "<f4").items():
-        table[i] = values
-    table = table.reshape(-1, DIM)
-    norm = np.linalg.norm(table, axis=1, keepdims=True)
-    return table / np.maximum(norm, 1e-9)
-
-
-def _features(vectors: np.ndarray):
-    def pool(batches):
+    return w, word & ~np.uint64(1), shape | np.uint64(1)
+
+
+def _pack_sums(x: np.ndarray) -> tuple[bytes, bytes]:
+    """Integer vectors as a bit mask of their nonzero numbers and eight byte planes of these, which pack well."""
+    full = x != 0
+    v = x[full]
+    v = ((v << 1) ^ (v >> 63)).astype("<u8")
+    return np.packbits(full, axis=1).tobytes(), np.ascontiguousarray(v.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def _unpack_sums(mask: bytes, values: bytes) -> np.ndarray:
+    full = np.unpackbits(np.frombuffer(mask, np.uint8).reshape(-1, DIM // 8), axis=1).astype(bool)
+    v = np.ascontiguousarray(np.frombuffer(values, np.uint8).reshape(8, -1).T).view("<u8").reshape(-1)
+    out = np.zeros(full.shape, np.int64)
+    out[full] = (v >> np.uint64(1)).astype(np.int64) ^ -(v & np.uint64(1)).astype(np.int64)
+    return out
+
+
+def _planes(x: np.ndarray) -> bytes:
+    """Three byte planes of numbers below 2**24, which pack well."""
+    return np.ascontiguousarray(x.astype("<u4").view(np.uint8).reshape(-1, 4)[:, :3].T).tobytes()
+
+
+def _from_planes(b: bytes) -> np.ndarray:
+    p = np.frombuffer(b, np.uint8).reshape(3, -1).astype(np.int64)
+    return p[0] | p[1] << 8 | p[2] << 16
+
+
+def _sums(keys: np.ndarray, number: np.ndarray, together: np.ndarray) -> np.ndarray:
+    """Context sums of the items with these keys, which stand in a row as `number`."""
+    table = np.zeros(len(keys) * DIM, np.int64)
+    for nonzero in range(2):
+        v = mix(keys + np.uint64(nonzero + 1))
+        dim, sign = (v % np.uint64(DIM)).astype(np.int64)[number], np.where(v >> np.uint64(63), 1, -1)[number]
+        for to, of in ((slice(None, -1), slice(1, None)), (slice(1, None), slice(None, -1))):
+            if len(number) > 1:
+                table += np.bincount(number[to] * DIM + dim[of], sign[of] * together, len(table)).astype(np.int64)
+    return table.reshape(-1, DIM)
+
+
+_ROW = "kind int, block long, bucket int, a binary, b binary, c binary, d binary"
+_ROW_TYPES = [pa.int32(), pa.int64(), pa.int32(), *[pa.binary()] * 4]
+_ROW_NAMES = [x.split()[0] for x in _ROW.split(", ")]
+
+
+class _Block:
+    def __init__(self):
+        self.ids, self.size, self.items, self.n = [], [], [], 0
+
+    def add(self, rows, w: Words, word: np.ndarray, shape: np.ndarray):
+        self.ids.append(id_array(rows.column("doc_id")))
+        self.size.append(w.count)
+        self.items.append((word, shape))
+        self.n += len(word) + w.n_docs
+
+    def rows(self, block: int, buckets: int):
+        """Block rows: 0 the texts, 1 messages to buckets."""
+        ids, size = np.concatenate(self.ids), np.concatenate(self.size)
+        doc = np.repeat(np.arange(len(size)), size)
+        together = doc[1:] == doc[:-1]
+        keys, sums, numbers = [], [], []
+        for k in range(2):
+            u, number = np.unique(np.concatenate([x[k] for x in self.items]), return_inverse=True)
+            keys.append(u)
+            sums.append(_sums(u, number, together))
+            numbers.append(number)
+        numbers[1] = numbers[1] + len(keys[0])
+        keys, sums = np.concatenate(keys), np.concatenate(sums)
+        to = ((keys >> np.uint64(1)) % np.uint64(buckets)).astype(np.int64)
+        order = np.argsort(to, kind="stable")
+        place = np.empty(len(order), np.int64)
+        place[order] = np.arange(len(order))
+        cuts = np.searchsorted(to[order], np.arange(buckets + 1))
+        out = [[] for _ in _ROW_NAMES]
+
+        def put(*row):
+            for col, v in zip(out, row, strict=True):
+                col.append(v)
+
+        put(0, block, -1, ids.astype("<i8").tobytes(), size.astype("<i8").tobytes(), *(_planes(place[n]) for n in numbers))
+        for b in range(buckets):
+            if cuts[b] < cuts[b + 1]:
+                part = order[cuts[b] : cuts[b + 1]]
+                put(1, block, b, keys[part].tobytes(), *_pack_sums(sums[part]), None)
+        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(out, _ROW_TYPES, strict=True)], _ROW_NAMES)
+
+
+def _blocks(buckets: int):
+    def cut(batches):
+        block, seq = _Block(), 0
+        part = TaskContext.get().partitionId()
         for rows, data, off in chunks(batches):
-            w, bw, bs, _, _ = _tokens(data, off)
-            n = w.n_docs
-            out = np.zeros((n, 2 * DIM + 1), np.float32)
-            full = np.flatnonzero(w.count)
-            if len(full):
-                for k, b in enumerate((bw, bs)):
-                    out[full, k * DIM : (k + 1) * DIM] = np.add.reduceat(vectors[b], w.first[:-1][full], axis=0)
-                out[:, :-1] /= np.maximum(w.count, 1)[:, None]
-            out[:, -1] = np.log1p(w.count)
-            yield pa.RecordBatch.from_arrays(
-                [rows.column("doc_id"), pa.array([r.tobytes() for r in out.astype("<f4")], pa.binary())], ["doc_id", "features"])
-    return pool
+            block.add(rows, *_tokens(data, off))
+            if block.n >= BLOCK_TOKENS:
+                yield from block.rows((part << 24) + seq, buckets)
+                block, seq = _Block(), seq + 1
+        if block.ids:
+            yield from block.rows((part << 24) + seq, buckets)
+    return cut
+
+
+def _add_up(t: pa.Table) -> pa.Table:
+    """A bucket's answers: the sums over all blocks of each item of each message."""
+    block, keys, masks, values = (t.column(c).to_pylist() for c in ("block", "a", "b", "c"))
+    keys = [np.frombuffer(k, np.uint64) for k in keys]
+    unique, which = np.unique(np.concatenate(keys), return_inverse=True)
+    which = np.split(which, np.cumsum([len(k) for k in keys])[:-1])
+    total = np.zeros((len(unique), DIM), np.int64)
+    for at, m, v in zip(which, masks, values, strict=True):
+        total[at] += _unpack_sums(m, v)  # a message has an item once
+    packed = [_pack_sums(total[at]) for at in which]
+    return pa.Table.from_arrays(
+        [pa.array(block, pa.int64()), t.column("bucket").combine_chunks(), pa.array([m for m, _ in packed], pa.binary()), pa.array([v for _, v in packed], pa.binary())],
+        ["block", "bucket", "b", "c"])
+
+
+def _pool(t: pa.Table) -> pa.Table:
+    """A block's features from its texts and the answers."""
+    col = {c: t.column(c).to_pylist() for c in t.column_names}
+    head = next(i for i, b in enumerate(col["bucket"]) if b < 0)
+    answers = sorted((b, i) for i, b in enumerate(col["bucket"]) if b >= 0)
+    vectors = np.concatenate([_unit(_unpack_sums(col["b"][i], col["c"][i])) for _, i in answers] + [np.empty((0, DIM), np.float32)])
+    ids, size = np.frombuffer(col["a"][head], "<i8"), np.frombuffer(col["b"][head], "<i8")
+    numbers = [_from_planes(col[c][head]) for c in "cd"]
+    doc = np.repeat(np.arange(len(size)), size)
+    out = np.zeros((len(size), 2 * DIM + 1), np.float64)
+    for i in range(0, len(doc), POOL_TOKENS):
+        d = doc[i : i + POOL_TOKENS]
+        first = np.flatnonzero(np.diff(d, prepend=-1))
+        for k, n in enumerate(numbers):
+            out[d[first], k * DIM : (k + 1) * DIM] += np.add.reduceat(vectors[n[i : i + POOL_TOKENS]], first, axis=0)
+    out[:, :-1] /= np.maximum(size, 1)[:, None]
+    out[:, -1] = np.log1p(size)
+    return pa.table({"doc_id": ids_back(ids), "features": pa.array([r.tobytes() for r in out.astype("<f4")], pa.binary())})
+
+
+def _unit(sums: np.ndarray) -> np.ndarray:
+    x = sums.astype(np.float32)
+    return x / np.maximum(np.linalg.norm(x, axis=1, keepdims=True), 1e-9)
+
+
+def pooled(docs: DataFrame) -> DataFrame:
+    """doc_id and packed features of every row of `docs` (doc_id, text)."""
+    blocks = stash(docs.select("doc_id", "text").mapInArrow(_blocks(n_parts(docs.sparkSession)), _ROW), "item-blocks", "zstd")
+    answers = blocks.filter("kind = 1").groupBy("bucket").applyInArrow(_add_up, "block long, bucket int, b binary, c binary")
+    mail = blocks.filter("kind = 0").select("block", "bucket", "a", "b", "c", "d").unionByName(answers, allowMissingColumns=True)
+    return mail.groupBy("block").applyInArrow(_pool, "doc_id long, features binary")
 
 
 class Network:
@@ -160,8 +266,7 @@ def held_out():
 def quality_scores(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE) -> DataFrame:
     """doc_id, held_out, score, predicted for every row of `docs` (doc_id, text)."""
     arrow_batches(docs.sparkSession)
-    vectors = context_vectors(docs)
-    rows = stash(docs.select("doc_id", "text").mapInArrow(_features(vectors), "doc_id long, features binary"), "features")
+    rows = stash(pooled(docs), "features")
     known = labels.filter("quality is not null").groupBy("doc_id").agg(F.max("quality").alias("quality"))
     train = (rows.filter(~held_out()).join(known, "doc_id").orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample).collect())
     x = _matrix([r["features"] for r in train]) if train else np.empty((0, 2 * DIM + 1))

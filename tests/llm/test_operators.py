@@ -227,6 +227,27 @@ def test_classifier(docs, spark):
     assert np.mean([got[d][2] == int((t or "").count(" ") > 100) for d, t in TEXTS]) > 0.8
 
 
+def test_every_word_has_its_own_vector(spark):
+    """20,000 words, each between the same two: the sum of its random vectors is the context vector of just that pair."""
+    texts = [(i, f"left{i % 50} w{i} right{i % 50}") for i in range(20000)]
+    got = table(quality_classifier.pooled(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)), "features")
+    v = {}
+    for _, text in texts[:50]:
+        data = np.frombuffer(text.encode(), np.uint8)
+        _, word, _ = quality_classifier._tokens(data, np.array([0, len(data)]))
+        for w, key in zip(text.split(), word, strict=True):
+            v[w] = np.zeros(quality_classifier.DIM)
+            for nonzero in range(2):
+                h = int(quality_classifier.mix(np.array([key]) + np.uint64(nonzero + 1))[0])
+                v[w][h % quality_classifier.DIM] += 1 if h >> 63 else -1
+    for i in range(50):
+        between = v[f"left{i}"] + v[f"right{i}"]
+        want = between / max(np.linalg.norm(between), 1e-9)
+        same = [np.frombuffer(got[j][0], "<f4")[: quality_classifier.DIM] * 3 for j in range(i, 20000, 50)]
+        sides = [x - want for x in same]  # what the two frequent words give, alike in all these texts
+        assert np.abs(np.array(sides) - sides[0]).max() < 1e-4
+
+
 ALL = [
     exact_dedup.exact_dedup, minhash_forest.minhash_dedup, substring_dedup.substring_dedup, suffix_dedup.suffix_dedup, quality_rules.quality_rules,
     pii.find_pii, brown_lm.lm_scores, pack.pack, lambda d: source_mix.mix_sources(d)[0],
