@@ -2,7 +2,8 @@
 
 Each stage works on all rows that the one before kept and its decisions take effect. Mixing
 repeats a document as many times as the mix takes it, to the nearest whole number, and leaves
-out documents that it takes less than half of. Rows without a doc_id cannot be told apart and go in the
+out documents that it takes less than half of. Rows that repeat a doc_id stay together: the verdicts hold
+for all of them, and each is repeated as often as the mix takes the rows of that doc_id on average. Rows without a doc_id cannot be told apart and go in the
 first stage. The last stage returns packed pieces instead of documents."""
 
 from __future__ import annotations
@@ -38,7 +39,8 @@ def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def mixing(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     rows, mix = mix_sources(docs)
     taken = mix.groupBy("doc_id").agg(F.sum(F.col("high") - F.col("low")).alias("taken"))
-    times = rows.select("doc_id", "size").distinct().join(taken, "doc_id").select(
+    sizes = rows.groupBy("doc_id").agg(F.sum("size").alias("size"))  # `taken` is of all rows of a doc_id
+    times = sizes.join(taken, "doc_id").select(
         "doc_id", F.floor(F.col("taken") / F.col("size") + 0.5).cast("int").alias("__times")).filter("__times > 0")
     repeated = docs.join(times, "doc_id").withColumn("__times", F.explode(F.sequence(F.lit(1), F.col("__times"))))
     return repeated.select(*docs.columns)

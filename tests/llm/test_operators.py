@@ -271,6 +271,15 @@ def test_pipeline(docs, spark):
     assert corpus_pipeline.packing(spark, docs, "").count() >= len(TEXTS)
 
 
+def test_mixing_of_repeated_rows(spark):
+    import corpus_pipeline
+
+    rows = [(i, f"{i} " * 40, "s", "en") for i in range(30)]
+    rows += [(7, rows[7][1], "s", "en")] * 3 + [(8, "other text " * 30, "s", "en")]
+    got = Counter(tuple(r) for r in corpus_pipeline.mixing(spark, spark.createDataFrame(rows, SCHEMA), "").collect())
+    assert got == Counter(rows)  # one source, which is taken once
+
+
 def test_components(spark):
     edges = [(i, i + 1) for i in range(1, 60)] + [(100, 200), (200, 150), (5, 5)]
     got = {r["node"]: r["component"] for r in components(spark.createDataFrame(edges, "a long, b long")).collect()}
