@@ -11,8 +11,8 @@ Prefix sums over the slots and documents of a source are taken in two levels (ch
 within a chunk), so a hot source is never in one task.
 
 Cases: null or empty texts have size 0 and are never taken; a null source is a source of its
-own; rows that repeat a doc_id each have a place in the stream and report their common sum; a table without words
-takes nothing; empty tables give empty results; extra input columns are ignored.
+own; rows that repeat a doc_id each have a place in the stream and report what is taken of them; rows with a null doc_id
+come last in their source's stream, by md5 of the text; a table without words takes nothing; empty tables give empty results; extra input columns are ignored.
 """
 
 from __future__ import annotations
@@ -75,43 +75,53 @@ def _ranked(rows: DataFrame, order: str, amount, name: str) -> DataFrame:
     sums = rows.groupBy("src", "chunk").agg(F.sum("_n").alias("_s"))
     before = Window.partitionBy("src").orderBy("chunk").rowsBetween(Window.unboundedPreceding, -1)
     sums = sums.select("src", "chunk", F.coalesce(F.sum("_s").over(before), F.lit(0)).alias("_base"))
-    inside = Window.partitionBy("src", "chunk").orderBy(order, *(["doc_id"] if "doc_id" in rows.columns else []))
+    inside = Window.partitionBy("src", "chunk").orderBy(order, *(["doc_id", "row"] if "doc_id" in rows.columns else []))
     run = F.sum("_n").over(inside.rowsBetween(Window.unboundedPreceding, Window.currentRow)) - F.col("_n")
     return rows.withColumn("_run", run).join(sums, ["src", "chunk"]).withColumn(name, F.col("_base") + F.col("_run")).drop("_n", "_run", "_base")
 
 
 def mix_sources(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """The documents (doc_id, src, size, source_size, target) and the mix: slot, doc_id, low, high
-    (words of the document that the slot takes, as a half-open range, and the epoch)."""
+    """The documents (row, doc_id, src, size, source_size, target) and the mix: slot, row, doc_id, low, high
+    (words of the document that the slot takes, as a half-open range, and the epoch). `row` numbers the rows of
+    `docs`, in no order."""
     size = F.coalesce(F.regexp_count("text", F.lit(r"[^\x20\x09-\x0D]+")), F.lit(0)).cast("long")
     src = F.coalesce(F.concat(F.lit("s"), F.col("source")), F.lit("n"))
-    rows = stash(docs.select("doc_id", "source", src.alias("src"), size.alias("size")), "sizes")
+    late = F.when(F.col("doc_id").isNull(), F.md5(F.coalesce(F.col("text"), F.lit(""))))
+    rows = stash(docs.select(F.monotonically_increasing_id().alias("row"), "doc_id", "source", src.alias("src"), size.alias("size"), late.alias("late")), "sizes")
     sources = rows.groupBy("src").agg(F.first("source").alias("source"), F.sum("size").alias("source_size"), F.count(F.lit(1)).alias("cnt"))
     goals = stash(targets(sources), "targets")
     count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     block = max(1, min(BLOCK_WORDS, total // MIN_SLOTS))
     placed = attach(rows.drop("source"), goals.drop("source", "weight"), "src", count)
     slots = stash(schedule(goals, total, block), "slots")
-    code = F.md5(F.concat(F.lit("mix:"), F.col("doc_id").cast("string")))
+    # null ids after all others, in chunks of their own
+    code = F.coalesce(F.md5(F.concat(F.lit("mix:"), F.col("doc_id").cast("string"))), F.concat(F.lit("~"), F.col("late")))
     chunks = F.ceil(F.col("cnt") / CHUNK)
     stream = placed.filter("size > 0").withColumn("code", code)
-    stream = stream.withColumn("chunk", F.floor(F.conv(F.substring("code", 1, 8), 16, 10).cast("double") / 2**32 * chunks))
-    stream = _ranked(stream.select("doc_id", "src", "size", "source_size", "code", "chunk"), "code", F.col("size"), "at")
+    digits = F.substring(F.ltrim(F.col("code"), F.lit("~")), 1, 8)
+    chunk = F.floor(F.conv(digits, 16, 10).cast("double") / 2**32 * chunks)
+    stream = stream.withColumn("chunk", F.when(F.col("late").isNull(), chunk).otherwise(chunk + chunks))
+    stream = _ranked(stream.select("row", "doc_id", "src", "size", "source_size", "code", "chunk"), "code", F.col("size"), "at")
     stream = stream.withColumn("epoch", F.explode(F.sequence(F.lit(0), F.lit(MAX_EPOCHS - 1))))
     begin = F.col("at") + F.col("epoch") * F.col("source_size")
     stream = stream.withColumn("begin", begin).withColumn("end", begin + F.col("size"))
-    parts = stream.select("doc_id", "src", "epoch", "begin", "end", F.explode(F.sequence(
+    parts = stream.select("row", "doc_id", "src", "epoch", "begin", "end", F.explode(F.sequence(
         F.floor(F.col("begin") / block), F.floor((F.col("end") - 1) / block))).alias("rank"))
     low, high = F.greatest("begin", F.col("rank") * block), F.least("end", (F.col("rank") + 1) * block)
     mix = parts.join(slots, ["src", "rank"]).select(
-        "slot", "doc_id", "epoch", (low - F.col("begin")).alias("low"), (high - F.col("begin")).alias("high"))
-    return placed, mix
+        "slot", "row", "doc_id", "epoch", (low - F.col("begin")).alias("low"), (high - F.col("begin")).alias("high"))
+    return placed.drop("late"), mix
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
-    rows, mix = mix_sources(documents(spark, sf_dir))
-    taken = mix.groupBy("doc_id").agg(F.sum(F.col("high") - F.col("low")).alias("taken"))
-    return rows.join(taken, "doc_id", "left").select(
+    return source_mix(documents(spark, sf_dir))
+
+
+def source_mix(docs: DataFrame) -> DataFrame:
+    """doc_id, size, source_size, target, taken for every row of `docs` (doc_id, text, source)."""
+    rows, mix = mix_sources(docs)
+    taken = mix.groupBy("row").agg(F.sum(F.col("high") - F.col("low")).alias("taken"))
+    return rows.join(taken, "row", "left").select(
         "doc_id", "size", "source_size", "target", F.coalesce("taken", F.lit(0).cast("long")).alias("taken"))
 
 

@@ -193,6 +193,23 @@ def test_mix(docs):
     assert again == {(r["slot"], r["doc_id"], r["low"], r["high"]) for r in mix.collect()}
 
 
+def test_mix_gives_null_ids_their_place(spark):
+    import duckdb
+
+    from tests.conftest import rows_of
+
+    r = random.Random(8)
+    rows = [(i if i % 25 else None, "w " * r.randint(1, 80), f"src{i // 25}", "en") for i in range(125)]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar, source varchar, lang varchar)")
+    con.executemany("insert into documents values (?, ?, ?, ?)", rows)
+    cur = con.execute(source_mix.OP5_SQL)
+    want = rows_of([d[0] for d in cur.description], cur.fetchall())
+    got = source_mix.source_mix(spark.createDataFrame(rows, SCHEMA).repartition(3))
+    assert rows_of(got.columns, [tuple(x) for x in got.collect()]) == want
+    assert any(x["doc_id"] is None and x["taken"] for x in got.collect())
+
+
 def test_pack(docs):
     from tokenizers import Tokenizer
 
