@@ -15,7 +15,7 @@ stay whole when shorter than a window). Only digests are kept of documents witho
 
 Cases: null, empty and short texts (under 20 words) keep everything; rows that repeat a doc_id
 count as one document and get the same verdict each; a row with a null
-doc_id counts as the first document and keeps everything; empty tables give empty results; extra
+doc_id keeps everything and takes nothing from other documents: its windows are not matched; empty tables give empty results; extra
 input columns are ignored.
 """
 

@@ -15,7 +15,8 @@ its strings are matched by `exchange.find_repeats`, where a block sends each str
 
 Cases: null and empty texts have no bytes and keep the empty digest; texts under LENGTH bytes
 stay whole; rows that repeat a doc_id and text count as one document, not as copies;
-rows with a null doc_id are looked at as copies only; empty
+rows with a null doc_id are documents like others, known by a hash of their text, so that equal texts
+without a doc_id count as one document; empty
 tables give empty results; extra input columns are ignored.
 """
 
@@ -98,11 +99,11 @@ def _scan(batches):
         lists = [pa.ListArray.from_arrays(cut, pa.array(x)) for x in (
             start.astype(np.int32), count.astype(np.int32), rep, places.astype(np.int32))]
         yield pa.RecordBatch.from_arrays(
-            [rows.column("doc_id"), pa.array(np.diff(off)), pa.array(sha), *lists],
-            ["doc_id", "n_bytes", "sha", "start", "count", "rep", "places"])
+            [rows.column("doc_id"), rows.column("nameless"), pa.array(np.diff(off)), pa.array(sha), *lists],
+            ["doc_id", "nameless", "n_bytes", "sha", "start", "count", "rep", "places"])
 
 
-_SCAN = "doc_id long, n_bytes long, sha string, start array<int>, count array<int>, rep array<long>, places array<int>"
+_SCAN = "doc_id long, nameless boolean, n_bytes long, sha string, start array<int>, count array<int>, rep array<long>, places array<int>"
 
 
 def _spread(rows: pa.RecordBatch):
@@ -279,9 +280,12 @@ def repeated_spans(texts: DataFrame, scanned: DataFrame) -> tuple[DataFrame, Dat
 def suffix_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_bytes, n_removed, n_spans, kept_sha256 for every row of `docs` (doc_id, text)."""
     arrow_batches(docs.sparkSession)
-    texts = docs.select("doc_id", "text")
-    base = stash(texts.mapInArrow(_scan, _SCAN), "byte-digests")
-    small = base.select("doc_id", "n_bytes", "sha")
+    # the key of a row: its doc_id, or a negative number by its text; ids given back are the original ones
+    key = F.coalesce(F.col("doc_id"), F.xxhash64(F.lit("nameless"), F.coalesce(F.col("text"), F.lit(""))).bitwiseOR(F.lit(-(2**63))))
+    named = docs.select(key.alias("doc_id"), "text", F.col("doc_id").isNull().alias("nameless"))
+    texts = named.select("doc_id", "text")
+    base = stash(named.mapInArrow(_scan, _SCAN), "byte-digests")
+    small = base.select("doc_id", "nameless", "n_bytes", "sha")
     firsts = stash(small.distinct().groupBy("sha").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies")), "byte-copies")
     originals = firsts.select(F.col("first_id").alias("doc_id"))
@@ -294,7 +298,7 @@ def suffix_dedup(docs: DataFrame) -> DataFrame:
     whole = (F.col("copies") > 1) & (F.col("n_bytes") >= LENGTH)
     zero = F.lit(0).cast("long")
     return rows.select(
-        "doc_id", "n_bytes",
+        F.when(~F.col("nameless"), F.col("doc_id")).alias("doc_id"), "n_bytes",
         F.when(whole, F.col("n_bytes")).otherwise(F.coalesce("cut", zero)).alias("n_removed"),
         F.when(whole, F.lit(1).cast("long")).otherwise(F.coalesce("cut_spans", zero)).alias("n_spans"),
         F.when(whole, F.lit(_EMPTY)).otherwise(F.coalesce("cut_sha", "sha")).alias("kept_sha256"))

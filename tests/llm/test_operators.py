@@ -210,6 +210,17 @@ def test_mix_gives_null_ids_their_place(spark):
     assert any(x["doc_id"] is None and x["taken"] for x in got.collect())
 
 
+def test_suffix_without_ids(spark):
+    r = random.Random(6)
+    text = lambda n: "".join(r.choice("abcdefgh ") for _ in range(n))
+    passage = text(700)
+    rows = [(None, text(300) + passage + text(200)), (5, text(100) + passage), (None, text(900)), (None, passage[:500] + text(50)), (6, text(800))]
+    want = brute.suffix([(i if d is None else d * 100, t) for i, (d, t) in enumerate(rows)])
+    want = Counter((None if d < 100 else d // 100, *v) for d, v in want.items())
+    got = suffix_dedup.suffix_dedup(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    assert Counter(tuple(x[c] for c in ("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")) for x in got) == want
+
+
 def test_pack(docs):
     from tokenizers import Tokenizer
 
