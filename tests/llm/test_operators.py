@@ -299,6 +299,43 @@ def test_pipeline(docs, spark):
     assert corpus_pipeline.packing(spark, docs, "").count() >= len(TEXTS)
 
 
+def test_pipeline_rows(docs, spark):
+    """run() on documents of which some repeat, against the plain versions of the stages one after another. The verdicts of
+    the quality rules come from the operator, which has no plain version of its distance."""
+    import duckdb
+    from tokenizers import Tokenizer
+
+    import corpus_pipeline
+
+    rows = [(d, t, s, lang) for d, t, s, lang in ROWS] + [ROWS[60], ROWS[60], (None, "no id " * 60, "src1", "en")]
+    table_dir = spark.conf.get("spark.checkpoint.dir") + "/pipeline-rows"
+    spark.createDataFrame(rows, SCHEMA).repartition(3).write.mode("overwrite").parquet(f"{table_dir}/documents.parquet")
+    good = {r["doc_id"] for r in quality_rules.quality_rules(spark.createDataFrame(rows, SCHEMA)).filter("kept").collect()} - {None}
+    left = [r for r in rows if r[0] in good]
+    for plain in (brute.exact, brute.near):
+        verdict = plain(sorted({(d, t) for d, t, _, _ in left}))
+        left = [r for r in left if verdict[r[0]][2]]
+    con = duckdb.connect()
+    con.execute("create table documents (doc_id bigint, text varchar, source varchar, lang varchar)")
+    con.executemany("insert into documents values (?, ?, ?, ?)", left)
+    taken, size = Counter(), Counter()
+    for d, n, t in con.execute(f"select doc_id, size, taken from ({source_mix.OP5_SQL})").fetchall():
+        taken[d] += t
+        size[d] += n
+    left = [r for r in left for _ in range(int(taken[r[0]] / size[r[0]] + 0.5))]
+    assert any(n == 3 for n in Counter(left).values()) or len(set(left)) > 20
+    tok = Tokenizer.from_file(pack.tokenizer_path())
+    want = Counter()
+    for d, t, _, _ in left:
+        ids = [*tok.encode(t or "", add_special_tokens=False).ids, 0]
+        at, k, end = 0, 0, len(ids) % 2048 or 2048
+        while at < len(ids):
+            want[d, k, at, end - at, zlib.crc32(np.array(ids[at:end], "<u4").tobytes())] += 1
+            at, end, k = end, end + 2048, k + 1
+    got = corpus_pipeline.run(spark, table_dir).collect()
+    assert Counter(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in got) == want
+
+
 def test_mixing_of_repeated_rows(spark):
     import corpus_pipeline
 
