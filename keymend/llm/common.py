@@ -26,8 +26,8 @@ _DIRS: dict[str, str] = {}
 
 def shared_dir(spark: SparkSession) -> str:
     """The folder for intermediate tables: the one `spark.checkpoint.dir` names, or one of
-    our own where that is unset (tests)."""
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
+    our own under the warehouse where that is unset (tests)."""
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
     return f"{base.rstrip('/')}/keymend-{_RUN}"
 
 
@@ -49,12 +49,23 @@ def stash(df: DataFrame, tag: str, compression: str = "snappy") -> DataFrame:
         atexit.register(_forget, spark, base)
     path = f"{base}/{tag}-{uuid.uuid4().hex[:12]}"
     df.write.option("compression", compression).parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._stash = path
+    return out
+
+
+def drop(*tables: DataFrame | None) -> None:
+    """Remove tables that stash() wrote and that nothing reads any more."""
+    for t in tables:
+        if path := getattr(t, "_stash", None):
+            _forget(t.sparkSession, path)
 
 
-def arrow_batches(spark: SparkSession, rows: int = 1024) -> None:
-    """Keep Arrow batches small, since texts may be very long."""
+def arrow_batches(spark: SparkSession, rows: int = 1024, size: int = 64 << 20) -> None:
+    """Keep Arrow batches small, since texts may be very long. Spark reads both settings when it runs the
+    returned frame, so they stay set."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(size))
 
 
 def documents(spark: SparkSession, sf_dir: str) -> DataFrame:

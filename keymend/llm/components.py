@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keymend.llm.common import stash
+from keymend.llm.common import drop, stash
 
 
 def components(edges: DataFrame) -> DataFrame:
@@ -24,17 +24,23 @@ def components(edges: DataFrame) -> DataFrame:
         own = F.struct(F.xxhash64(F.col("a"), F.lit(turn)).alias("h"), F.col("a").alias("to"))
         moves = stash(both.groupBy("a").agg(F.min(rank).alias("m")).select(
             F.col("a").alias("node"), F.least(F.col("m"), own)["to"].alias("to")), "moves")
+        spent = [edges]
         if where is None:
             where = moves.withColumnRenamed("to", "at")
+            first = moves
         else:
+            spent += [moves, first if turn == 1 else where]
             where = stash(where.join(moves.withColumnRenamed("node", "at"), "at", "left")
                           .select("node", F.coalesce("to", "at").alias("at")), "places")
         step = (edges.join(moves.select(F.col("node").alias("a"), F.col("to").alias("x")), "a")
                 .join(moves.select(F.col("node").alias("b"), F.col("to").alias("y")), "b")
                 .filter("x <> y").select(F.least("x", "y").alias("a"), F.greatest("x", "y").alias("b")).distinct())
         edges = stash(step, "edges")
+        drop(*spent)
         turn += 1
         if edges.isEmpty():
             break
     low = where.groupBy("at").agg(F.min("node").alias("component"))
-    return stash(where.join(low, "at").select("node", "component"), "components")
+    out = stash(where.join(low, "at").select("node", "component"), "components")
+    drop(edges, first, where)
+    return out

@@ -1,28 +1,25 @@
 """MinHash near-dedup with an LSH forest.
 
 1. One pass: each document's set of distinct 5-word shingles (64-bit hashes cut to 54 bits), its size, a
-   128-bit digest of the set and TREES * DEPTH minhashes. Documents with equal sets form a class, of
+   128-bit digest of the set and N_HASHES minhashes. Documents with equal sets form a class, of
    which one row goes on.
-2. Forest: TREES orders, each by its own DEPTH minhashes, are sorted by range partitioning, so
-   that a crowded region spreads over tasks. Neighbours in an order are those with the longest
-   common prefix. A prefix of MIN_PREFIX minhashes makes a region; where a region holds more than REACH rows,
-   the pairs looked at are those with deeper common prefixes, as deep as that place needs.
-3. Documents with a neighbour of compatible size in any order give their full sets. They are
-   sorted again in the first orders together with the sets, and neighbours are compared there,
-   skipping pairs that are joined already. Components follow from these links.
-4. All orders are walked once more for neighbours in different components; these pairs are
-   compared by joining the sets, and the components are merged.
-5. Regions of more than REACH + 1 rows that still hold several components are compared whole: every row
-   outside the region's largest component against every row of the region, in cells of about
-   CELL by CELL rows, by size and by the number of equal minhashes. Pairs with at least AGREE equal ones go to
-   the sets; first the likeliest pair of every two components in a cell, then, once these are merged, all
-   that are still apart. No candidate is capped.
-
-A pair of Jaccard similarity s shares a region in some order with probability
-1 - (1 - s**MIN_PREFIX)**TREES: 0.999998 at s = 0.75, and has under AGREE equal minhashes with a
-probability of about 1e-6. Links are confirmed on full sets, so there is no false link. Steps 2 to 4 give at most
-REACH pairs a row, so a group of n near copies costs in proportion to n; step 5 costs, in a region of
-n rows of which m are outside the largest component, m * n comparisons of signatures, spread over cells.
+2. An order is a sequence of minhashes; documents with equal first minhashes in it share a region. Those that share
+   a region of the first level with any other give their full sets.
+3. Forest: FIRST_ORDERS sorted signature orders, by range partitioning, so that crowded places spread over tasks.
+   Rows next to each other, with the longest common prefixes, are compared on full sets and joined into
+   components. This makes most groups of copies one component; nothing relies on what it misses.
+4. Adaptive depth: at each of LEVELS (prefix length, orders) the regions that still hold several components are
+   looked at. One of WHOLE rows or fewer is compared whole. The documents of larger ones go to the next level,
+   with longer prefixes and more orders, but for the last level, where every such region is compared whole.
+   Whole means every row outside the region's largest component against every row of the
+   region, on full sets, in cells of about CELL by CELL rows or CELL_SHINGLES by CELL_SHINGLES shingles.
+   A cell gives only links that join components. Components are merged after each level. No candidate is capped.
+
+A pair of Jaccard similarity s shares a region with prefix length d in some of t orders with probability
+1 - (1 - s**d)**t: at s = 0.75 all but 1.8e-6 at the first level and all but 5.2e-6 at the last. A pair is compared at the
+first level unless all regions that it shares there are crowded; then both go to the last. Links are
+confirmed on full sets, so there is no false link. A region of n rows of which m are outside its largest
+component costs m * n comparisons, spread over cells, and gives at most n - 1 links a cell.
 
 Cases: null, empty and blank texts have an empty set and are their own component; texts under 5
 words have one shingle; ties cannot arise; rows that repeat a doc_id get the same verdict; a null
@@ -34,33 +31,36 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keymend.llm.common import (
-    Words, arrow_batches, attach, chunks, documents, grams, mix, n_parts, sort_runs, stash,
+    Words, arrow_batches, attach, chunks, documents, drop, grams, mix, n_parts, ragged, sort_runs, stash,
 )
 from keymend.llm.components import components
 
 SHINGLE = 5
 PERCENT = 75
-TREES = 16
+N_HASHES = 128
+#: Prefix length and number of orders at each level; orders of a level are cut from the N_HASHES minhashes.
+LEVELS = ((2, 16), (4, 32))
+#: Rows up to which a region is compared whole instead of being looked at more deeply.
+WHOLE = 128
+#: Orders that are sorted, the minhashes in each, and the rows after a row that it is compared with.
+FIRST_ORDERS = 2
 DEPTH = 8
-MIN_PREFIX = 2
-#: Neighbours after a row in an order that are looked at where a region is crowded.
 REACH = 8
-#: Orders in which full sets are compared on the spot.
-FIRST_TREES = 2
-#: Rows on either side of a cell in which a crowded region is compared.
+#: Rows, and shingles, on either side of a cell.
 CELL = 1024
-#: Equal minhashes, of TREES * DEPTH, from which a pair of a crowded region is compared on full sets.
-AGREE = 72
+CELL_SHINGLES = 1 << 20
+#: Pairs up to which a cell is compared pair by pair instead of by a product of matrices; shingles in a slab of one.
+FEW = 256
+SLAB = 2048
 _BITS = 54
 
 _rng = np.random.Generator(np.random.PCG64(7))
-_MUL = (_rng.integers(0, 2**31, TREES * DEPTH, dtype=np.uint32) * np.uint32(2) + np.uint32(1)).astype(np.uint32)
-_XOR = _rng.integers(0, 2**32, TREES * DEPTH, dtype=np.uint32)
+_MUL = (_rng.integers(0, 2**31, N_HASHES, dtype=np.uint32) * np.uint32(2) + np.uint32(1)).astype(np.uint32)
+_XOR = _rng.integers(0, 2**32, N_HASHES, dtype=np.uint32)
 
 
 def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -84,7 +84,7 @@ def shingle_sets(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, np.ndar
     return key & np.uint64((1 << _BITS) - 1), size
 
 
-def signatures(sets: np.ndarray, size: np.ndarray, n: int = TREES * DEPTH) -> np.ndarray:
+def signatures(sets: np.ndarray, size: np.ndarray, n: int = N_HASHES) -> np.ndarray:
     """Minhashes (documents with a shingle only, in order)."""
     full = size[size > 0]
     start = np.cumsum(full) - full
@@ -106,25 +106,22 @@ def _signed(batches):
         if len(full):
             lanes[has, 0] = np.add.reduceat(mix(sets + np.uint64(1)), start)
             lanes[has, 1] = np.add.reduceat(mix(sets ^ np.uint64(0x5DEECE66D5DEECE6)), start)
-        sig = np.zeros((len(size), TREES * DEPTH), ">u4")
+        sig = np.zeros((len(size), N_HASHES), ">u4")
         sig[has] = signatures(sets, size)
         raw = sig.tobytes()
-        step = TREES * DEPTH * 4
+        step = N_HASHES * 4
         yield pa.RecordBatch.from_arrays(
             [rows.column("doc_id"), pa.array(size.astype(np.int64)), pa.array([x.tobytes() for x in lanes], pa.binary()),
              pa.array([raw[i * step : (i + 1) * step] if h else None for i, h in enumerate(has)], pa.binary())],
             ["doc_id", "n_shingles", "class", "signature"])
 
 
-def _trees(rows: DataFrame, trees: range, *cols: str) -> DataFrame:
-    """One row per document and order: tree, key (the order's minhashes, comparable as bytes)."""
-    each = rows.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in trees))))
-    return each.select("tree", F.expr(f"substring(signature, tree * {DEPTH * 4} + 1, {DEPTH * 4})").alias("key"), *cols)
-
-
 def _in_order(rows: DataFrame) -> DataFrame:
+    """FIRST_ORDERS rows a document: tree, key (the order's minhashes, comparable as bytes), sorted."""
     n = n_parts(rows.sparkSession)
-    return rows.repartitionByRange(n, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
+    each = rows.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(FIRST_ORDERS)))))
+    keyed = each.select("tree", F.expr(f"substring(signature, tree * {DEPTH * 4} + 1, {DEPTH * 4})").alias("key"), "doc_id", "n_shingles", "shingles")
+    return keyed.repartitionByRange(n, "tree", "key", "doc_id").sortWithinPartitions("tree", "key", "doc_id")
 
 
 def _prefixes(tree: np.ndarray, key: np.ndarray) -> np.ndarray:
@@ -151,38 +148,18 @@ def _columns(batch, *names):
     return out
 
 
-def _near_pairs(tree, key, size, comp, reach: int):
-    """Index pairs (i < j <= i + reach) within a region, of fitting sizes and different components."""
+def _near_pairs(tree, key, size):
+    """Index pairs (i < j <= i + REACH) with a common prefix, of fitting sizes."""
     lcp = _prefixes(tree, key)
     run = np.full(len(tree), DEPTH)
-    for j in range(1, reach + 1):
+    for j in range(1, REACH + 1):
         if len(tree) <= j:
             break
         run = np.minimum(run[: len(tree) - j], lcp[j - 1 :])
-        i = np.flatnonzero((run >= MIN_PREFIX) & _fits(size[:-j], size[j:]) & (comp[:-j] != comp[j:]))
+        i = np.flatnonzero((run >= LEVELS[0][0]) & _fits(size[:-j], size[j:]))
         yield i, i + j
 
 
-def _with_neighbour(batches):
-    """Documents that have a fitting neighbour; rows at a partition's ends count as having one."""
-    held = None
-    for batch in batches:
-        tree, key, size, ids = _columns(batch, "tree", "key", "n_shingles", "doc_id")
-        if not len(ids):
-            continue
-        first = held is None
-        if held is not None:
-            tree, key, size, ids = (np.concatenate([a[-REACH:], b]) for a, b in zip(held, (tree, key, size, ids), strict=True))
-        hit = np.zeros(len(ids), bool)
-        hit[:REACH] |= first
-        for i, j in _near_pairs(tree, key, size, np.arange(len(ids)), REACH):
-            hit[i] = hit[j] = True
-        held = (tree, key, size, ids)
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(ids[hit]))], ["doc_id"])
-    if held is not None:
-        yield pa.RecordBatch.from_arrays([pa.array(np.unique(held[3][-REACH:]))], ["doc_id"])
-
-
 def _sets(batches):
     for rows, data, off in chunks(batches):
         sets, size = shingle_sets(data, off)
@@ -231,7 +208,7 @@ def _links_on_the_spot(batches):
             sets = held_sets[-REACH:] + sets  # noqa: F821
         union = _Union(len(ids))
         a, b = [], []
-        for i, j in _near_pairs(tree, key, size, np.arange(len(ids)), REACH):
+        for i, j in _near_pairs(tree, key, size):
             for x, y in zip(i.tolist(), j.tolist(), strict=True):
                 p, q = union.find(x), union.find(y)
                 if p != q and similar(sets[x], sets[y]):
@@ -242,120 +219,117 @@ def _links_on_the_spot(batches):
         yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
 
 
-_PAIR = "a long, b long, edge int, tree int, key binary, n_shingles long, component long"
+# --- cells ---------------------------------------------------------------------------------
+
+def _common(sets: list[np.ndarray], query: np.ndarray, row: np.ndarray) -> np.ndarray:
+    """Sizes of the intersections of the sets at `query` and at `row`, by products of 0-1 matrices
+    of the shingles that two sets or more hold."""
+    of = np.repeat(np.arange(len(sets)), [len(x) for x in sets])
+    keys = np.concatenate(sets)
+    order = np.argsort(keys, kind="stable")
+    at, n = sort_runs(keys[order])
+    at, n = at[n > 1], n[n > 1]
+    held, col = of[order[ragged(at, n)]], np.repeat(np.arange(len(at)), n)
+    edge = np.searchsorted(col, np.arange(0, len(at) + SLAB, SLAB))
+    out = np.zeros((len(query), len(row)), np.float32)
+    for k, (a, b) in enumerate(zip(edge[:-1], edge[1:], strict=True)):
+        x = np.zeros((len(sets), SLAB), np.float32)
+        x[held[a:b], col[a:b] - k * SLAB] = 1
+        out += x[query] @ x[row].T
+    return out.astype(np.int64)
+
+
+def cell_links(ids, size, comp, main, row, query, shingles) -> list[tuple[int, int]]:
+    """Links between components among the pairs of a query and a row of a cell. Two rows outside the
+    main component meet twice, perhaps in two cells; the one with the smaller id is the row then."""
+    q, r = np.flatnonzero(query), np.flatnonzero(row)
+    ok = _fits(size[q, None], size[r]) & (comp[q, None] != comp[r]) & ((comp[r] == main[r]) | (ids[r] < ids[q, None]))
+    if not ok.any():
+        return []
+    kinds, kind = np.unique(comp, return_inverse=True)
+    if ok.sum() <= FEW:
+        exact = lambda i, j: similar(shingles[q[i]], shingles[r[j]])
+    else:
+        both = _common([_read_set(x) for x in shingles], q, r)
+        ok &= 100 * both >= PERCENT * (size[q, None] + size[r] - both)
+        exact = lambda i, j: True
+    union, out = _Union(len(kinds)), []
+    for i, j in np.argwhere(ok).tolist():
+        x, y = union.find(kind[q[i]]), union.find(kind[r[j]])
+        if x != y and exact(i, j):
+            union.up[x] = y
+            out.append((int(comp[q[i]]), int(comp[r[j]])))
+    return out
 
 
-def _pair_batch(tree, key, size, ids, comp, keep=None):
-    a, b = [], []
-    for i, j in _near_pairs(tree, key, size, comp, REACH):
-        if keep is not None:
-            i, j = i[keep(i, j)], j[keep(i, j)]
-        a.append(ids[i])
-        b.append(ids[j])
-    a = np.concatenate([*a, np.empty(0, np.int64)]).astype(np.int64)
-    b = np.concatenate([*b, np.empty(0, np.int64)]).astype(np.int64)
-    return np.unique(np.stack([np.minimum(a, b), np.maximum(a, b)], 1), axis=0)
+_CELL = ("tree", "region", "block", "lot")
 
 
-def _pairs_between(batches):
-    """Pairs of neighbours in different components, and the rows at the partition's ends (with b
-    null), for the pairs that the next partition has the other half of."""
-    part, held, any_rows = TaskContext.get().partitionId(), None, False
+def _links_in_cells(batches):
+    """Rows come sorted by cell; a cell that a batch leaves open goes on in the next."""
+    held: pa.Table | None = None
 
-    def ends(rows, edge):
-        tree, key, size, ids, comp = rows
-        n = len(ids)
-        return pa.RecordBatch.from_arrays(
-            [pa.array(ids), pa.nulls(n, pa.int64()), pa.array(np.full(n, edge, np.int32)), pa.array(tree.astype(np.int32)),
-             pa.array([x.tobytes() for x in key], pa.binary()), pa.array(size), pa.array(comp)], _PAIR_NAMES)
+    def links(t: pa.Table):
+        col = {c: t.column(c).to_numpy() for c in ("doc_id", "n_shingles", "component", "main", *_CELL, "own_block", "own_lot")}
+        sets = t.column("shingles").to_pylist()
+        cell = np.stack([col[c] for c in _CELL])
+        cut = np.flatnonzero(np.concatenate([[True], (cell[:, 1:] != cell[:, :-1]).any(0), [True]]))
+        row = col["block"] == col["own_block"]
+        query = (col["lot"] == col["own_lot"]) & (col["component"] != col["main"])
+        found = []
+        for a, b in zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True):
+            found += cell_links(*(col[c][a:b] for c in ("doc_id", "n_shingles", "component", "main")), row[a:b], query[a:b], sets[a:b])
+        low, high = np.sort(np.array(found, np.int64).reshape(-1, 2), axis=1).T
+        return pa.RecordBatch.from_arrays([pa.array(low), pa.array(high)], ["a", "b"])
 
     for batch in batches:
-        rows = _columns(batch, "tree", "key", "n_shingles", "doc_id", "component")
         if not batch.num_rows:
             continue
-        if not any_rows:
-            yield ends([x[:REACH] for x in (rows[0], rows[1], rows[2], rows[3], rows[4])], part - 1)
-            any_rows = True
-        if held is not None:
-            rows = [np.concatenate([a[-REACH:], b]) for a, b in zip(held, rows, strict=True)]
-        p = _pair_batch(rows[0], rows[1], rows[2], rows[3], rows[4])
-        n = len(p)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(p[:, 0]), pa.array(p[:, 1]), pa.nulls(n, pa.int32()), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary()),
-             pa.nulls(n, pa.int64()), pa.nulls(n, pa.int64())], _PAIR_NAMES)
-        held = rows
+        t = pa.Table.from_batches([batch]) if held is None else pa.concat_tables([held, pa.Table.from_batches([batch])])
+        last = [t.column(c)[-1].as_py() for c in _CELL]
+        same = np.logical_and.reduce([t.column(c).to_numpy() == v for c, v in zip(_CELL, last, strict=True)])
+        start = int(np.argmax(same))  # of the last cell
+        held = t.slice(start)
+        if start:
+            yield links(t.slice(0, start))
     if held is not None:
-        yield ends([x[-REACH:] for x in held], part)
-
+        yield links(held)
 
-_PAIR_NAMES = [x.split()[0] for x in _PAIR.split(", ")]
 
+def _regions(signed: DataFrame, level: int) -> DataFrame:
+    """tree, region, doc_id: a row for each document and order of the level."""
+    depth, orders = LEVELS[level]
+    each = signed.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(orders)))))
+    prefix = F.expr(f"substring(signature, tree * {N_HASHES // orders * 4} + 1, {depth * 4})")
+    return each.select("tree", F.xxhash64(prefix).alias("region"), "doc_id", "n_shingles")
 
-def _pairs_at_edge(t: pa.Table) -> pa.Table:
-    t = t.sort_by([("tree", "ascending"), ("key", "ascending"), ("a", "ascending")])
-    tree, key, size, ids, comp = _columns(t, "tree", "key", "n_shingles", "a", "component")
-    p = _pair_batch(tree, key, size, ids, comp)
-    return pa.table({"a": pa.array(p[:, 0]), "b": pa.array(p[:, 1])})
 
-
-def _confirm(batches):
-    for batch in batches:
-        sa, sb = (batch.column(batch.schema.get_field_index(c)).to_pylist() for c in ("sa", "sb"))
-        ok = pa.array([similar(x, y) for x, y in zip(sa, sb, strict=True)], pa.bool_())
-        yield pa.RecordBatch.from_arrays(
-            [batch.column(batch.schema.get_field_index(c)).filter(ok) for c in ("ca", "cb")], ["a", "b"])
-
-
-def _cell(likeliest: bool):
-    """Pairs of a query and a row of a cell, of fitting sizes and different components, with AGREE equal
-    minhashes; only at the first order whose region they share."""
-    def pairs(t: pa.Table) -> pa.Table:
-        ids, size, comp, main = (t.column(c).to_numpy().astype(np.int64) for c in ("doc_id", "n_shingles", "component", "main"))
-        tree = t.column("tree")[0].as_py()
-        sig = np.frombuffer(b"".join(t.column("signature").to_pylist()), ">u4").astype(np.uint32).reshape(-1, TREES * DEPTH)
-        query = t.column("query").to_numpy(zero_copy_only=False).astype(bool)
-        row = np.flatnonzero(~query)
-        found = [np.empty((0, 3), np.int64)]
-        for q in np.flatnonzero(query):
-            # two rows outside the main component meet twice; the one with the smaller id is the row then
-            at = row[_fits(size[row], size[q]) & (comp[row] != comp[q]) & ((comp[row] == main[row]) | (ids[row] < ids[q]))]
-            equal = sig[at] == sig[q]
-            agree = equal.sum(1)
-            for k in range(tree):
-                agree[equal[:, k * DEPTH : k * DEPTH + MIN_PREFIX].all(1)] = 0
-            ok = agree >= AGREE
-            found.append(np.stack([np.full(int(ok.sum()), q), at[ok], agree[ok]], 1))
-        found = np.concatenate(found)
-        if likeliest and len(found):
-            low, high = np.sort(comp[found[:, :2]], axis=1).T
-            order = np.lexsort((-found[:, 2], high, low))
-            new = np.concatenate([[True], (low[order][1:] != low[order][:-1]) | (high[order][1:] != high[order][:-1])])
-            found = found[order[new]]
-        low, high = np.sort(ids[found[:, :2]], axis=1).T
-        return pa.table({"a": pa.array(low, pa.int64()), "b": pa.array(high, pa.int64())})
-    return pairs
-
-
-def _crowded_pairs(reps: DataFrame, where: DataFrame, likeliest: bool) -> DataFrame:
-    """Candidate pairs (a, b) in different components of `where` (doc_id, component), from the regions
-    that the walks over the orders did not compare whole."""
-    light = reps.join(where, "doc_id")
-    keys = light.withColumn("tree", F.explode(F.array(*(F.lit(t) for t in range(TREES))))).select(
-        "tree", F.expr(f"substring(signature, tree * {DEPTH * 4} + 1, {MIN_PREFIX * 4})").alias("region"), "doc_id", "component")
-    shares = keys.groupBy("tree", "region", "component").agg(F.count(F.lit(1)).alias("n"))
+def _level(keys: DataFrame, where: DataFrame, sets: DataFrame, total: int, last: bool) -> tuple[DataFrame, DataFrame | None]:
+    """Links (a, b) between components of `where` (doc_id, component) from the regions in `keys` that hold
+    several; and the documents (doc_id) of those that have to be looked at more deeply."""
+    placed = keys.join(where, "doc_id")
+    shares = placed.groupBy("tree", "region", "component").agg(F.count(F.lit(1)).alias("n"), F.sum("n_shingles").alias("weight"))
     regions = shares.groupBy("tree", "region").agg(
-        F.sum("n").alias("cnt"), F.max(F.struct("n", "component")).alias("most"), F.count(F.lit(1)).alias("kinds"))
-    crowded = stash(regions.filter((F.col("cnt") > REACH + 1) & (F.col("kinds") > 1)).select(
-        "tree", "region", "cnt", F.col("most.component").alias("main"), F.ceil(F.col("cnt") / CELL).cast("int").alias("blocks"),
-        F.ceil((F.col("cnt") - F.col("most.n")) / CELL).cast("int").alias("lots")), "crowded")
-    members = stash(attach(keys, crowded, ["tree", "region"], reps.count() * TREES), "members")
-    every = lambda n: F.explode(F.sequence(F.lit(0), F.col(n) - 1))
+        F.sum("n").alias("cnt"), F.sum("weight").alias("weight"), F.max(F.struct("n", "weight", "component")).alias("most"),
+        F.count(F.lit(1)).alias("kinds")).filter("kinds > 1")
+    parts = lambda n, w: F.ceil(F.greatest(n / CELL, w / CELL_SHINGLES)).cast("int")
+    regions = stash(regions.select(
+        "tree", "region", "cnt", F.col("most.component").alias("main"), parts(F.col("cnt"), F.col("weight")).alias("blocks"),
+        parts(F.col("cnt") - F.col("most.n"), F.col("weight") - F.col("most.weight")).alias("lots")), "several")
     place = lambda n: F.pmod(F.xxhash64("doc_id"), F.col(n)).cast("int")
-    rows = members.withColumn("block", place("blocks")).withColumn("lot", every("lots")).withColumn("query", F.lit(False))
-    asked = members.filter("component <> main").withColumn("block", every("blocks")).withColumn("lot", place("lots")).withColumn("query", F.lit(True))
-    cells = rows.unionByName(asked).join(reps, "doc_id").select(
-        "tree", "region", "block", "lot", "query", "doc_id", "component", "main", "n_shingles", "signature")
-    return stash(cells.groupBy("tree", "region", "block", "lot").applyInArrow(_cell(likeliest), "a long, b long"), "crowded-pairs")
+    now = regions if last else regions.filter(F.col("cnt") <= WHOLE)
+    members = attach(placed, now, ["tree", "region"], total).withColumns({"own_block": place("blocks"), "own_lot": place("lots")})
+    cells = members.withColumn("cell", F.explode(F.expr(
+        "array_union(transform(sequence(0, lots - 1), x -> struct(own_block as block, x as lot)), "
+        "if(component <> main, transform(sequence(0, blocks - 1), x -> struct(x as block, own_lot as lot)), array()))")))
+    cells = cells.join(sets, "doc_id").select(
+        "tree", "region", "cell.block", "cell.lot", "own_block", "own_lot", "doc_id", "component", "main", "n_shingles", "shingles")
+    links = (cells.repartition(n_parts(cells.sparkSession), *_CELL).sortWithinPartitions(*_CELL)
+             .mapInArrow(_links_in_cells, "a long, b long"))
+    if last:
+        return links, None
+    deeper = regions.filter(F.col("cnt") > WHOLE)
+    return links, attach(keys.select("tree", "region", "doc_id"), deeper, ["tree", "region"], total).select("doc_id").distinct()
 
 
 def _merged(where: DataFrame, links: DataFrame) -> DataFrame:
@@ -364,18 +338,6 @@ def _merged(where: DataFrame, links: DataFrame) -> DataFrame:
     return stash(where.join(whole, "component", "left").select("doc_id", F.coalesce("whole", "component").alias("component")), "where")
 
 
-def _confirmed(pairs: DataFrame, where: DataFrame, sets: DataFrame) -> DataFrame:
-    """Links between components from candidate pairs of documents, confirmed on full sets."""
-    side = where.join(sets, "doc_id")
-    both = (pairs.join(side.select(F.col("doc_id").alias("a"), F.col("component").alias("ca"), F.col("shingles").alias("sa")), "a")
-            .join(side.select(F.col("doc_id").alias("b"), F.col("component").alias("cb"), F.col("shingles").alias("sb")), "b"))
-    return both.mapInArrow(_confirm, "a long, b long")
-
-
-def _sets_of(texts: DataFrame, ids: DataFrame) -> DataFrame:
-    return stash(texts.join(ids, "doc_id").mapInArrow(_sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
-
-
 def minhash_dedup(docs: DataFrame) -> DataFrame:
     """doc_id, n_shingles, component_id, kept for every row of `docs` (doc_id, text)."""
     arrow_batches(docs.sparkSession)
@@ -386,34 +348,27 @@ def minhash_dedup(docs: DataFrame) -> DataFrame:
     classes = stash(some.groupBy("class").agg(F.min("doc_id").alias("rep"), F.count(F.lit(1)).alias("cnt")), "classes")
     reps = base.join(classes.select(F.col("rep").alias("doc_id"), "class"), ["doc_id", "class"], "left_semi")
     reps = stash(reps.select("doc_id", "n_shingles", "signature").dropDuplicates(["doc_id"]), "representatives")
-    # documents with neighbours, and their sets
-    order = _in_order(_trees(reps, range(TREES), "doc_id", "n_shingles"))
-    near = stash(order.mapInArrow(_with_neighbour, "doc_id long").distinct(), "neighbours")
-    sets = _sets_of(texts, near)
-    near = stash(reps.join(near, "doc_id", "left_semi"), "near-signatures")
-    # links on the spot in the first orders
-    first = stash(_trees(near.join(sets, "doc_id"), range(FIRST_TREES), "doc_id", "n_shingles", "shingles"), "first-orders")
-    links = _in_order(first).mapInArrow(_links_on_the_spot, "a long, b long")
-    found = components(links)
-    # neighbours in different components, in all orders
-    placed = near.join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").withColumn(
-        "component", F.coalesce("component", "doc_id"))
-    placed = stash(placed, "placed")
-    walked = stash(_in_order(_trees(placed, range(TREES), "doc_id", "n_shingles", "component")).mapInArrow(_pairs_between, _PAIR), "walked")
-    at_edges = walked.filter("b is null").groupBy("edge").applyInArrow(_pairs_at_edge, "a long, b long")
-    pairs = walked.filter("b is not null").select("a", "b").unionByName(at_edges).distinct()
-    where = _merged(placed.select("doc_id", "component"), _confirmed(pairs, placed.select("doc_id", "component"), sets))
-    # crowded regions whole
-    where = stash(reps.select("doc_id").join(where, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component")), "where")
-    tried = None
-    for likeliest in (True, False):
-        pairs = _crowded_pairs(reps, where, likeliest)
-        pairs = pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti")
-        if pairs.isEmpty():
-            break
-        tried = pairs
-        ids = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-        where = _merged(where, _confirmed(pairs, where, _sets_of(texts, ids)))
+    # documents that share a region, and their sets
+    keys = _regions(reps, 0)
+    shared = stash(keys.groupBy("tree", "region").agg(F.count(F.lit(1)).alias("cnt")).filter("cnt > 1"), "regions")
+    keys = stash(attach(keys, shared, ["tree", "region"], reps.count() * LEVELS[0][1]).drop("cnt"), "keys")
+    near = stash(reps.join(keys.select("doc_id").distinct(), "doc_id", "left_semi"), "near-signatures")
+    sets = stash(texts.join(near.select("doc_id"), "doc_id", "left_semi").mapInArrow(
+        _sets, "doc_id long, shingles binary").dropDuplicates(["doc_id"]), "sets")
+    # neighbours in sorted orders
+    found = components(_in_order(near.join(sets, "doc_id")).mapInArrow(_links_on_the_spot, "a long, b long"))
+    where = stash(near.select("doc_id").join(found.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
+        "doc_id", F.coalesce("component", "doc_id").alias("component")), "where")
+    # regions, deeper where they are crowded
+    for level in range(len(LEVELS)):
+        links, deeper = _level(keys, where, sets, keys.count(), level == len(LEVELS) - 1)
+        before, spent = where, keys
+        where = _merged(where, links)
+        if deeper is not None:
+            keys = stash(_regions(near.join(deeper, "doc_id", "left_semi"), level + 1), "keys")
+        drop(before, spent)
+    drop(near, sets, shared)
+    where = reps.select("doc_id").join(where, "doc_id", "left").select("doc_id", F.coalesce("component", "doc_id").alias("component"))
     final = where.withColumnRenamed("doc_id", "rep")
     labels = stash(classes.join(final, "rep", "left").select("class", "cnt", F.coalesce("component", "rep").alias("component_id")), "labels")
     rows = attach(some, labels, "class", light.count()).select("doc_id", "n_shingles", "component_id")
