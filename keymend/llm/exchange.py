@@ -140,6 +140,7 @@ def _bucket(later: bool, key_bytes: int):
             place = [_unpack_places(col["places"][i], col["wide"][i]) for i in mail]
             who = np.repeat(np.arange(len(mail)), [len(p) for p in place])
             flat = np.concatenate(place)
+            more = None if col["more"][mail[0]] is None else np.concatenate([np.frombuffer(col["more"][i], np.uint32) for i in mail])
             if later:
                 ids, pos = [], []
                 for i, p in zip(mail, place, strict=True):
@@ -148,14 +149,16 @@ def _bucket(later: bool, key_bytes: int):
                     ids.append(np.frombuffer(col["docs"][i], "<i8")[d])
                     pos.append(p - base[d])
                 ids, pos = np.concatenate(ids), np.concatenate(pos)
-                more = np.concatenate([np.frombuffer(col["more"][i], np.uint32) for i in mail])
                 by = np.lexsort((pos, ids, more, keys))
                 new = np.concatenate([[True], (keys[by][1:] != keys[by][:-1]) | (more[by][1:] != more[by][:-1])])
                 first = by[np.flatnonzero(new)[np.cumsum(new) - 1]]
                 hit = by[(ids[by] != ids[first]) | (pos[by] != pos[first])]
             else:
-                by = np.argsort(keys)
-                _, length = sort_runs(keys[by])
+                by = np.argsort(keys) if more is None else np.lexsort((more, keys))
+                new = keys[by][1:] != keys[by][:-1]
+                if more is not None:
+                    new |= more[by][1:] != more[by][:-1]
+                _, length = sort_runs(np.concatenate([[0], np.cumsum(new)]))
                 hit = by[np.repeat(length, length) > 1]
             hit = np.sort(hit)
             cuts = np.searchsorted(who[hit], np.arange(len(mail) + 1))

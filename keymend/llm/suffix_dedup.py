@@ -11,7 +11,8 @@ count as one; and where different regions remain, their text is sorted by the tw
 
 Copies of a whole document are settled by digest: of LENGTH bytes or more, all bytes go.
 A representative with over HOT_REGIONS regions (a passage in a large share of all documents) is not gathered:
-its strings are matched by `exchange.find_repeats`, where a block sends each string once.
+its strings are matched by `exchange.find_repeats`, where a block sends each string once and 96 bits of two
+hashes decide. Regions with one representative count as identical by 64 more bits over all their bytes.
 
 Cases: null and empty texts have no bytes and keep the empty digest; texts under LENGTH bytes
 stay whole; rows that repeat a doc_id and text count as one document, not as copies;
@@ -30,7 +31,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keymend.llm.common import (
-    arrow_batches, attach, chunks, covered, documents, id_array, n_parts, prefix_hash, ragged, sort_runs,
+    arrow_batches, attach, chunks, covered, documents, id_array, mix, n_parts, prefix_hash, ragged, sort_runs,
     span_hash, stash,
 )
 from keymend.llm.exchange import find_repeats
@@ -216,12 +217,13 @@ def _sorted_regions(batches):
 
 
 def _hot_strings(rows, data, off):
-    doc, start, count, _ = _spread(rows)
-    first = off[:-1][doc] + start
-    at = np.unique(ragged(first, count))
-    d = np.searchsorted(off, at, "right") - 1
-    ids = id_array(rows.column("doc_id"))
-    return ids, np.diff(off), d, at - off[:-1][d], span_hash(prefix_hash(data), at, at + LENGTH), None
+    """The strings of hot regions by the hash of their bytes and 32 bits of their representative, which is
+    another function of them: 96 bits decide."""
+    doc, start, count, rep = _spread(rows)
+    at = ragged(off[:-1][doc] + start, count)  # regions of a document do not overlap in their starts
+    d = np.repeat(doc, count)
+    more = np.repeat(mix(rep.view(np.uint64)), count).astype(np.uint32)
+    return id_array(rows.column("doc_id")), np.diff(off), d, at - off[:-1][d], span_hash(prefix_hash(data), at, at + LENGTH), more
 
 
 def _hot_spans(batches):
