@@ -70,6 +70,13 @@ def crowd(n=600):
     return out
 
 
+@pytest.mark.parametrize("whole", [1, 128])
+def test_near_at_each_depth(docs, whole, monkeypatch):
+    monkeypatch.setattr(minhash_forest, "WHOLE", whole)
+    monkeypatch.setattr(minhash_forest, "CELL", 5)
+    assert table(minhash_forest.minhash_dedup(docs), "n_shingles", "component_id", "kept") == brute.near(TEXTS)
+
+
 def test_near_in_crowded_regions(spark):
     texts = crowd()
     got = table(minhash_forest.minhash_dedup(spark.createDataFrame(texts, "doc_id long, text string").repartition(5)), "n_shingles", "component_id", "kept")
@@ -78,6 +85,36 @@ def test_near_in_crowded_regions(spark):
     assert got == want
 
 
+def test_links_in_cells_by_pairs_and_by_products(monkeypatch):
+    """A cell's links join the same components either way."""
+    r = np.random.default_rng(4)
+    sets = []
+    for _ in range(12):
+        base = r.choice(2**50, 60, replace=False)
+        sets += [np.unique(np.concatenate([base[: r.integers(40, 60)], r.choice(2**50, r.integers(0, 12))])) for _ in range(8)]
+    sets.append(np.unique(r.choice(2**50, 5000)))
+    raw = [x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :7].tobytes() for x in sets]
+    n = len(sets)
+    ids, size = r.permutation(n) + 7, np.array([len(x) for x in sets])
+    comp = np.where(np.arange(n) % 8 < 2, ids[np.arange(n) // 8 * 8], ids)
+    whole = np.ones(n, bool)
+
+    def groups(links):
+        up = {c: c for c in comp.tolist()}
+        for a, b in links:
+            old, new = up[a], up[b]
+            up = {k: new if v == old else v for k, v in up.items()}
+        return {frozenset(k for k in up if up[k] == v) for v in up.values()}
+
+    found = []
+    for few in (10**9, 0):
+        monkeypatch.setattr(minhash_forest, "FEW", few)
+        monkeypatch.setattr(minhash_forest, "SLAB", 100)
+        found.append(groups(minhash_forest.cell_links(ids, size, comp, np.full(n, comp[0]), whole, comp != comp[0], raw)))
+    plain = [(int(comp[i]), int(comp[j])) for i in range(n) for j in range(i) if minhash_forest.similar(raw[i], raw[j])]
+    assert found[0] == found[1] == groups(plain) and len(found[0]) < len(set(comp.tolist()))
+
+
 def test_substring(docs):
     assert table(substring_dedup.substring_dedup(docs), "n_words", "n_removed", "kept_sha256") == brute.substring(TEXTS)
 
@@ -336,6 +373,21 @@ def test_pipeline_rows(docs, spark):
     assert Counter(tuple(r[c] for c in ("doc_id", "piece", "start", "length", "ids_crc32")) for r in got) == want
 
 
+def test_pipeline_stages_on_empty_tables(spark):
+    import corpus_pipeline
+
+    for name, stage in corpus_pipeline.STAGES:
+        assert stage(spark, spark.createDataFrame([], SCHEMA), "").count() == 0, name
+
+
+def test_exact_stage_leaves_one_of_repeated_rows(spark):
+    import corpus_pipeline
+
+    rows = [(1, "a b", "s", "en"), (1, "a  b", "t", "de"), (1, "c", "s", "en"), (2, "a b", "s", "en"), (3, None, "s", "en"), (4, "", "s", "en")]
+    got = corpus_pipeline.exact(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
+    assert sorted((r["doc_id"], " ".join((r["text"] or "").split())) for r in got) == [(1, "a b"), (1, "c"), (3, "")]
+
+
 def test_mixing_of_repeated_rows(spark):
     import corpus_pipeline
 
