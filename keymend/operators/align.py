@@ -86,7 +86,8 @@ def align_fact(fact: DataFrame, legacy: DataFrame, spec: AlignFactSpec, dim_fixe
     from keymend.functions.keys import natural_key as nk
 
     day = F.col(f"f.{spec.event_date}")
-    out = fact.alias("f").join(legacy.alias("s"), business_key_equal(
+    through = day <= cutoff  # later rows, and those without a date, need no legacy row
+    out = fact.alias("f").join(legacy.alias("s"), through & business_key_equal(
         [F.col(f"s.{c}") for c in spec.legacy_bk], [F.col(f"f.{c}") for c in spec.bk]), "left")
     by_nk = F.lit(None).cast("long")
     if spec.nks:
@@ -105,8 +106,7 @@ def align_fact(fact: DataFrame, legacy: DataFrame, spec: AlignFactSpec, dim_fixe
     if keymap_only_where is not None:
         on = on & keymap_only_where
     out = out.join(back, on, "left")
-    through = F.coalesce(day <= cutoff, F.lit(False))
-    from_legacy = F.when(through, F.col(f"s.{spec.legacy_fk}"))
+    from_legacy = F.col(f"s.{spec.legacy_fk}")
     resolved = F.coalesce(from_legacy, by_nk, F.col("__km_old"), F.lit(unknown))
     branch = (F.when(from_legacy.isNotNull(), "LEGACY_FACT").when(by_nk.isNotNull(), "NATURAL_KEY")
               .when(F.col("__km_old").isNotNull(), "KEY_MAP").otherwise("UNKNOWN"))

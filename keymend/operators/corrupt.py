@@ -64,16 +64,17 @@ def with_values(df: DataFrame, where: Column, values: dict[str, object]) -> Data
 
 # Other names of the type-2 columns in legacy tables.
 SCD2_ALIASES = {
-    "effectiveStartDate": ("effective_start_date", "valid_from", "start_date", "eff_start", "effectiveFrom"),
-    "effectiveEndDate": ("effective_end_date", "valid_to", "end_date", "eff_end", "effectiveTo"),
-    "recordStatus": ("record_status", "is_current", "current_flag", "status"),
+    "effectiveStartDate": ("effective_start_date", "EffectiveStartDate", "valid_from"),
+    "effectiveEndDate": ("effective_end_date", "EffectiveEndDate", "valid_to"),
+    "recordStatus": ("record_status", "RecordStatus", "is_current"),
 }
 
 
-def normalize_scd2(df: DataFrame, open_end: str = "2999-12-31") -> DataFrame:
-    """Canonical type-2 columns: names, dates, and status C or H (from booleans or numbers, else from the end date)."""
+def normalize_scd2(df: DataFrame, open_end: str = "2999-12-31", aliases: dict[str, tuple[str, ...]] = SCD2_ALIASES) -> DataFrame:
+    """Canonical type-2 columns: names, dates, and status C or H (from booleans, 1 and 0, else from the end
+    date); other numbers stay, as text. `aliases` names further columns where a source has its own."""
     low = {c.lower(): c for c in df.columns}
-    names = {low[a.lower()]: want for want, others in SCD2_ALIASES.items() if want not in df.columns for a in others[:] if a.lower() in low}
+    names = {low[a.lower()]: want for want, others in aliases.items() if want not in df.columns for a in others[:] if a.lower() in low}
     first: dict[str, str] = {}
     for have, want in names.items():
         first.setdefault(want, have)
@@ -85,8 +86,9 @@ def normalize_scd2(df: DataFrame, open_end: str = "2999-12-31") -> DataFrame:
     if "recordStatus" not in df.columns:
         return df.withColumn("recordStatus", ended)
     kind = df.schema["recordStatus"].dataType.typeName()
-    if kind in ("boolean", "integer", "long", "short", "byte"):
-        return df.withColumn("recordStatus", F.when(F.col("recordStatus").cast("boolean"), "C").otherwise("H"))
+    if kind in ("boolean", "integer", "long", "short", "byte", "double", "float"):
+        n = F.col("recordStatus").cast("double")
+        return df.withColumn("recordStatus", F.when(n == 1, "C").when(n == 0, "H").otherwise(F.col("recordStatus").cast("string")))
     return df
 
 

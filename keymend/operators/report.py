@@ -6,7 +6,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keymend.functions.keys import natural_key, raw_key
@@ -26,12 +26,26 @@ class Dimension:
     facts: tuple[tuple[str, DataFrame, str], ...]
 
 
+#: Columns of the detail rows, also where there are none.
+DETAIL = ("pass string, dimension string, sk_column string, sk bigint, issue_type string, golden_nk string, broken_nk string, "
+          "total_fact_rows bigint, fact_refs array<struct<fact_table:string,fk_column:string,row_count:bigint,load_batches:array<string>>>")
+
+
+def used_keys(refs: Sequence[tuple[str, DataFrame, str]], unknown: int = UNKNOWN) -> DataFrame:
+    """Rows and load batches of each key in use, for each referring fact column, in one aggregation over all of
+    them; unknown and null keys are left out. `load_batch` is null where a fact has none."""
+    def uses(name: str, fact: DataFrame, fk: str) -> DataFrame:
+        batch = F.col("load_batch").cast("string") if "load_batch" in fact.columns else F.lit(None).cast("string")
+        return fact.select(F.col(fk).cast("long").alias("sk"), F.lit(name).alias("fact_table"), F.lit(fk).alias("fk_column"), batch.alias("load_batch"))
+
+    every = reduce(DataFrame.unionByName, (uses(*r) for r in refs)).filter(F.col("sk") != unknown)
+    return every.groupBy("sk", "fact_table", "fk_column").agg(
+        F.count(F.lit(1)).alias("row_count"), F.array_sort(F.collect_set("load_batch")).alias("load_batches"))
+
+
 def usage(fact: DataFrame, fk: str, name: str, unknown: int = UNKNOWN) -> DataFrame:
-    """Rows and load batches of each key in use; unknown and null keys are left out."""
-    batch = F.col("load_batch") if "load_batch" in fact.columns else F.lit(None).cast("string")
-    return (fact.filter(F.col(fk) != unknown).groupBy(F.col(fk).alias("sk"))
-            .agg(F.count(F.lit(1)).alias("row_count"), F.array_sort(F.collect_set(batch)).alias("load_batches"))
-            .select("sk", F.lit(name).alias("fact_table"), F.lit(fk).alias("fk_column"), "row_count", "load_batches"))
+    """used_keys() of one fact column."""
+    return used_keys([(name, fact, fk)], unknown)
 
 
 def nk_map(dim: DataFrame, sk: str, nks: Sequence[str | Column], unknown: int = UNKNOWN, normalize: bool = False) -> DataFrame:
@@ -41,8 +55,7 @@ def nk_map(dim: DataFrame, sk: str, nks: Sequence[str | Column], unknown: int =
 
 
 def _classified(d: Dimension, unknown: int, normalize: bool, truth: DataFrame | None) -> DataFrame:
-    used = reduce(DataFrame.unionByName, (usage(f, fk, n, unknown) for n, f, fk in d.facts))
-    per_key = used.groupBy("sk").agg(
+    per_key = used_keys(d.facts, unknown).groupBy("sk").agg(
         F.sum("row_count").alias("total_fact_rows"),
         F.array_sort(F.collect_list(F.struct("fact_table", "fk_column", "row_count", "load_batches"))).alias("fact_refs"))
     now = nk_map(d.current, d.sk, d.nks, unknown, normalize).select("sk", F.col("nk").alias("broken_nk"), F.lit(True).alias("present"))
@@ -63,12 +76,13 @@ def _classified(d: Dimension, unknown: int, normalize: bool, truth: DataFrame |
 
 def issues(dims: Sequence[Dimension], label: str, unknown: int = UNKNOWN, normalize: bool = False, truth: dict[str, DataFrame] | None = None) -> DataFrame:
     """Detail rows of all dimensions: every key in use that isn't a plain match. Golden and current
-    keys are compared at the same SK, unless `truth` gives (sk, nk) of a dimension by name."""
-    parts = (
+    keys are compared at the same SK, unless `truth` gives (sk, nk) of a dimension by name. Without any
+    referring fact there are no rows, of the same columns."""
+    parts = [
         _classified(d, unknown, normalize, (truth or {}).get(d.name)).filter("issue_type <> 'NK_MATCH'").select(
             F.lit(label).alias("pass"), F.lit(d.name).alias("dimension"), F.lit(d.sk).alias("sk_column"), "sk", "issue_type",
-            "golden_nk", "broken_nk", "total_fact_rows", "fact_refs") for d in dims if d.facts)
-    return reduce(DataFrame.unionByName, parts)
+            "golden_nk", "broken_nk", "total_fact_rows", "fact_refs") for d in dims if d.facts]
+    return reduce(DataFrame.unionByName, parts) if parts else SparkSession.active().createDataFrame([], DETAIL)
 
 
 def summary(detail: DataFrame) -> DataFrame:
@@ -82,13 +96,25 @@ def flatten(detail: DataFrame) -> DataFrame:
     return detail.select(*head, F.explode("fact_refs").alias("ref")).select(*head, "ref.*")
 
 
+# What the two passes' row counts of an issue mean, the first that holds.
+STATUSES = (
+    ("post_fact_rows is null", "FIXED (gone post-repair)"),
+    ("pre_fact_rows is null", "NEW post-repair"),
+    ("post_fact_rows = 0", "FIXED"),
+    ("post_fact_rows < pre_fact_rows", "IMPROVED"),
+    ("true", "UNCHANGED"),
+)
+
+
 def compare(pre: DataFrame, post: DataFrame) -> DataFrame:
     """Issues of both passes side by side. UNCHANGED also covers those that became worse; a key whose
     issue changed shows as gone and as new."""
-    key = ["dimension", "sk_column", "sk", "issue_type"]
-    a = pre.select(*key, F.col("total_fact_rows").alias("pre_fact_rows"))
-    b = post.select(*key, F.col("total_fact_rows").alias("post_fact_rows"))
-    before, after = F.col("pre_fact_rows"), F.col("post_fact_rows")
-    status = (F.when(after.isNull(), "FIXED (gone post-repair)").when(before.isNull(), "NEW post-repair")
-              .when(after == 0, "FIXED").when(after < before, "IMPROVED").otherwise("UNCHANGED"))
-    return a.join(b, key, "full_outer").withColumn("status", status)
+    issue = ["dimension", "sk_column", "sk", "issue_type"]
+    sides = [x.groupBy(*issue).agg(F.sum("total_fact_rows").alias(f"{label}_fact_rows")) for x, label in ((pre, "pre"), (post, "post"))]
+    status = F.coalesce(*(F.when(F.expr(rule), name) for rule, name in STATUSES))
+    return sides[0].join(sides[1], issue, "full_outer").withColumn("status", status)
+
+
+def progress(compared: DataFrame) -> DataFrame:
+    """One row: issues that are gone, and those still open after the repair."""
+    return compared.agg(F.count_if(F.col("status").like("FIXED%")).alias("fixed"), F.count("post_fact_rows").alias("still_open"))

@@ -62,6 +62,11 @@ def reconcile(legacy: DataFrame, fixed: DataFrame, by: str, amount: str, toleran
     return out if tolerance is None else out.filter(F.abs("diff") > tolerance)
 
 
+def by_difference(reconciled: DataFrame) -> DataFrame:
+    """reconcile()'s rows, the largest differences first."""
+    return reconciled.orderBy(F.abs("diff").desc_nulls_last(), reconciled.columns[0])
+
+
 def outside_window(fact: DataFrame, fk: str, event_date: str, dim: DataFrame, sk: str, start: str, end: str) -> DataFrame:
     """Fact rows whose event lies outside their version's validity."""
     d = dim.select(F.col(sk).alias("__sk"), F.col(start).alias("__from"), F.col(end).alias("__to"))

@@ -89,8 +89,13 @@ def split_list(raw: str, sep: str = ",") -> list[str]:
 
 
 def split_groups(raw: str) -> list[tuple[str, ...]]:
-    """Groups by position: ',' between facts, ';' within one."""
-    return [tuple(split_list(g, ";")) for g in (raw or "").split(",")] if (raw or "").strip() else []
+    """Groups by position: ',' between facts, ';' within one. Empty groups go, as in split_list()."""
+    return [tuple(split_list(g, ";")) for g in split_list(raw)]
+
+
+def flag(p: dict[str, str], name: str) -> bool:
+    """An option of a flat configuration that is on when 'true'."""
+    return str(p.get(name, "false")).strip().lower() == "true"
 
 
 def parse_facts(raw: str, merge: bool = True) -> list[tuple[str, tuple[str, ...]]]:

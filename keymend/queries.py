@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
+
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from keymend.functions.keys import business_key_equal, deterministic_key, natural_key, normalized
 from keymend.operators import align, corrupt, keymap, repair, report, validate
+from keymend.plans.specs import DimSpec
 from keymend.sources import fixtures as fx
 from keymend.sources.fixtures import Star
 
@@ -395,8 +398,6 @@ def align_fact_nk(s: Star) -> DataFrame:
   case when f.event_date <= timestamp '2001-06-30 00:00:00' then coalesce(s.customer_key, km.old_sk, -1) else coalesce(km.old_sk, -1) end as customer_key
   from b_order_fact f left join legacy_order_fact s on f.order_id = s.order_id left join km1 km on f.customer_key = km.new_sk and km.map_status = 'MATCHED'""")
 def align_fact_keymap_only(s: Star) -> DataFrame:
-    from dataclasses import replace
-
     return align.align_fact(s.b_orders(), s.legacy_orders(), replace(fx.ORDER_ALIGN, nks=()), align_dim_keep(s), fx.CUSTOMER, s.km1(), s.cutoff())
 
 
@@ -505,7 +506,8 @@ def recon_mismatches(s: Star) -> DataFrame:
 
 @query("select surrogate_key, customer_id, eff_start as \"effectiveStartDate\", eff_end as \"effectiveEndDate\", record_status as \"recordStatus\" from g_customer_scd2")
 def scd2_normalize(s: Star) -> DataFrame:
-    return corrupt.normalize_scd2(s.g_customer2())
+    own = {"effectiveStartDate": ("eff_start",), "effectiveEndDate": ("eff_end",)}
+    return corrupt.normalize_scd2(s.g_customer2(), aliases={k: v + own.get(k, ()) for k, v in corrupt.SCD2_ALIASES.items()})
 
 
 @query("""select f.activity_id, case when f.event_date < d.eff_start or f.event_date > d.eff_end then cast(d.eff_start as timestamp) else f.event_date end as event_date
@@ -518,16 +520,92 @@ def event_clamp(s: Star) -> DataFrame:
     return s.b_activity().join(d, "surrogate_key").select("activity_id", clamped_to_start(F.col("event_date"), start, F.col("eff_end").cast("timestamp_ntz")).alias("event_date"))
 
 
-@query("""select o.order_id, o.part_key, row_number() over (partition by o.part_key order by o.order_id, o.line_id, o.supplier_key, o.event_date) as version
-  from g_hub o where o.order_id % 10 = 0""")
+_VERSIONS = """select o.order_id, o.part_key, row_number() over (partition by o.part_key order by o.order_id, o.line_id, o.supplier_key, o.event_date) as version
+  from g_hub o"""
+
+
+@query(_VERSIONS)
 def hub_versions(s: Star) -> DataFrame:
     w = Window.partitionBy("part_key").orderBy("order_id", "line_id", "supplier_key", "event_date")
-    return s.g_hub().filter("order_id % 10 = 0").select("order_id", "part_key", F.row_number().over(w).cast("long").alias("version"))
+    return s.g_hub().select("order_id", "part_key", F.row_number().over(w).cast("long").alias("version"))
 
 
-@query("""select o.order_id, o.part_key, row_number() over (partition by o.part_key order by o.order_id, o.line_id, o.supplier_key, o.event_date) as version
-  from g_hub o""")
+@query(_VERSIONS)
 def hub_versions_whole(s: Star) -> DataFrame:
-    """Versions over all of the hub; hub_versions numbers only the tenth of it that its SQL names."""
-    w = Window.partitionBy("part_key").orderBy("order_id", "line_id", "supplier_key", "event_date")
-    return s.g_hub().select("order_id", "part_key", F.row_number().over(w).cast("long").alias("version"))
+    """The name that hub_versions had while that numbered a tenth of the hub only."""
+    return hub_versions(s)
+
+
+# --- type 2 and several dimensions ------------------------------------------------------------
+
+_NAMED = """, na as (
+  select a.activity_id, a.event_date, a.amount, g.customer_id, b.surrogate_key from b_activity_fact a join g_customer_scd2 g on a.surrogate_key = g.surrogate_key
+  join b_customer_scd2 b on b.customer_id = g.customer_id and b.record_status = case when a.event_date >= timestamp '1998-01-01 00:00:00' then 'C' else 'H' end),
+la as (select activity_id, surrogate_key from b_activity_fact where event_date <= timestamp '1998-06-30 00:00:00' and activity_id % 5 <> 0),
+back as (
+  select f.activity_id, f.surrogate_key, km.old_sk from na f join km2 km on f.surrogate_key = km.new_sk and km.map_status in ('MATCHED', 'AMBIGUOUS')
+    and f.event_date >= km.valid_from and f.event_date < coalesce(km.valid_to, date '9999-12-31'))
+"""
+
+
+def _align_activity(s: Star, dated: bool, branch: bool = False) -> DataFrame:
+    spec = replace(fx.ACTIVITY_ALIGN, nks=("customer_id",)) if dated else fx.ACTIVITY_ALIGN
+    limit = F.lit(fx.ACTIVITY_CUTOFF).cast("timestamp_ntz")
+    return align.align_fact(s.named_activity(), s.legacy_activity(), spec, align_dim_scd2(s), fx.CUSTOMER2, s.km2(), limit, dated_lookup=dated, with_branch=branch)
+
+
+@query(_NAMED + """select f.activity_id, f.event_date, f.amount, f.customer_id, coalesce(la.surrogate_key, back.old_sk, -1) as surrogate_key
+  from na f left join la on f.activity_id = la.activity_id left join back on f.activity_id = back.activity_id""")
+def align_fact_scd2(s: Star) -> DataFrame:
+    return _align_activity(s, False)
+
+
+@query(_NAMED + """, df as (
+  select coalesce(min(o.old_sk), d.surrogate_key) as surrogate_key, d.customer_id, d.eff_start, d.eff_end from b_customer_scd2 d left join old2 o
+  on upper(trim(d.customer_id)) = o.natural_key and o.valid_from < d.eff_end and d.eff_start < o.valid_to group by d.surrogate_key, d.customer_id, d.eff_start, d.eff_end)
+select f.activity_id, f.event_date, f.amount, f.customer_id, coalesce(la.surrogate_key, df.surrogate_key, back.old_sk, -1) as surrogate_key,
+  case when la.surrogate_key is not null then 'LEGACY_FACT' when df.surrogate_key is not null then 'NATURAL_KEY' when back.old_sk is not null then 'KEY_MAP' else 'UNKNOWN' end as branch
+  from na f left join la on f.activity_id = la.activity_id left join back on f.activity_id = back.activity_id
+  left join df on f.customer_id = df.customer_id and f.event_date >= df.eff_start and f.event_date < df.eff_end""")
+def align_fact_dated(s: Star) -> DataFrame:
+    return _align_activity(s, True, branch=True)
+
+
+@query(""", roles as (select *, 2 * (activity_id % (select count(*) from customer)) + 1 as first_key from b_activity_fact)
+select f.activity_id, f.event_date, f.amount, coalesce(a.new_sk, -1) as surrogate_key, coalesce(b.new_sk, -1) as first_key from roles f
+  left join km2 a on f.surrogate_key = a.old_sk and a.map_status in ('MATCHED', 'AMBIGUOUS') and f.event_date >= a.valid_from and f.event_date < coalesce(a.valid_to, date '9999-12-31')
+  left join km2 b on f.first_key = b.old_sk and b.map_status in ('MATCHED', 'AMBIGUOUS') and f.event_date >= b.valid_from and f.event_date < coalesce(b.valid_to, date '9999-12-31')""")
+def rekey_scd2_multirole(s: Star) -> DataFrame:
+    return repair.rekey(s.b_activity_roles(), ["surrogate_key", "first_key"], s.km2(), 2, "event_date")
+
+
+_HUB = """select 2 * s_suppkey + v + 1 as detail_sk, s_name as account_number, """ + ", ".join(
+    f"(s_suppkey * {i + 3} + v * 7) % {n} + 1 as {name}_key" for i, (name, n) in enumerate(fx.HUB_REFS.items())) + """,
+  date '2023-01-01' + cast(180 * v + (2 * s_suppkey + v + 1) % 30 as integer) as "effectiveStartDate",
+  case when v = 1 then date '2999-12-31' else date '2023-01-01' + cast((2 * s_suppkey + 1) % 30 + 179 as integer) end as "effectiveEndDate",
+  case when v = 1 then 'C' else 'H' end as "recordStatus" from supplier, (values (0), (1)) as t(v)"""
+
+
+@query(_HUB)
+def hub_scd2(s: Star) -> DataFrame:
+    return s.hub_scd2()
+
+
+@query(f", hub as ({_HUB}), " + ", ".join(
+    f"m_{name} as (select k as old_sk, row_number() over (order by '{name.upper()}-' || k desc) as new_sk from (select unnest(range(1, {n + 1})) as k))"
+    for name, n in fx.HUB_REFS.items()) + """ select detail_sk, account_number, "effectiveStartDate", "effectiveEndDate", "recordStatus", """ + ", ".join(
+    f"coalesce(m_{name}.new_sk, -1) as {name}_key" for name in fx.HUB_REFS) + " from hub " + " ".join(f"left join m_{name} on hub.{name}_key = m_{name}.old_sk" for name in fx.HUB_REFS))
+def rekey_hub_scd2(s: Star) -> DataFrame:
+    """All seven references of the hub in one rebuild."""
+    def keys(name: str) -> DataFrame:
+        spec = DimSpec(f"{name}_key", ("code",))
+        golden = s.lookup(name)
+        return keymap.build_keymap(keymap.snapshot(golden, spec), keymap.snapshot(corrupt.break_scd1(golden, spec.sk, ["code"]), spec, "new_sk"))
+    return repair.rekey_dimensions(s.hub_scd2(), [([f"{name}_key"], keys(name), 1, None) for name in fx.HUB_REFS])
+
+
+@query("""select count(*) filter (post_fact_rows is null or post_fact_rows = 0) as fixed, count(post_fact_rows) as still_open from (
+  select a.row_count as pre_fact_rows, b.row_count as post_fact_rows from (select * from issues_pre where issue_type <> 'NK_MATCH') a
+  full outer join (select * from issues_post where issue_type <> 'NK_MATCH') b on a.sk = b.sk and a.issue_type = b.issue_type)""")
+def report_progress(s: Star) -> DataFrame:
+    return report.progress(report_compare(s))

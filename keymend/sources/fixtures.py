@@ -19,6 +19,19 @@ PART = DimSpec("part_key", ("part_code", "source_system"))
 SUPPLIER = DimSpec("supplier_key", ("supplier_code",))
 ORDER_ALIGN = AlignFactSpec("b_order_fact", "customer_key", "event_date", "legacy_order_fact", "customer_key", ("order_id",), ("order_id",), ("customer_id",))
 CUTOFF = datetime.datetime(2001, 6, 30)
+ACTIVITY_CUTOFF = datetime.datetime(1998, 6, 30)
+ACTIVITY_ALIGN = AlignFactSpec("named_activity", "surrogate_key", "event_date", "legacy_activity", "surrogate_key", ("activity_id",), ("activity_id",))
+# The hub's lookup dimensions and their members.
+HUB_REFS = {"account": 120, "subscriber": 80, "account_type": 12, "market": 20, "autopay": 8, "billing_product": 40, "payment_method": 15}
+
+
+def once(build):
+    """A table of a Star that is built once: those that number rows write an intermediate table."""
+    def get(self):
+        if build.__name__ not in self.built:
+            self.built[build.__name__] = build(self)
+        return self.built[build.__name__]
+    return get
 
 
 class Star:
@@ -26,6 +39,7 @@ class Star:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         self.spark, self.sf_dir = spark, sf_dir
+        self.built: dict[str, DataFrame] = {}
 
     def t(self, name: str) -> DataFrame:
         return table(self.spark, self.sf_dir, name)
@@ -33,6 +47,7 @@ class Star:
     def g_customer(self) -> DataFrame:
         return self.t("customer").select((F.col("c_custkey") + 1).alias("customer_key"), F.col("c_name").alias("customer_id"), F.col("c_mktsegment").alias("segment"))
 
+    @once
     def b_customer(self) -> DataFrame:
         c = self.t("customer")
         unknown = self.spark.createDataFrame([(-1, "UNKNOWN", "N/A")], "customer_key long, customer_id string, segment string")
@@ -72,6 +87,7 @@ class Star:
         now = c.select((2 * F.col("c_custkey") + 2).alias("surrogate_key"), F.col("c_name").alias("customer_id"), day("1998-01-01").alias("eff_start"), day("2999-12-31").alias("eff_end"), F.lit("C").alias("record_status"))
         return old.unionByName(now)
 
+    @once
     def b_customer2(self) -> DataFrame:
         return break_scd2(self.g_customer2(), "surrogate_key", [F.col("customer_id").desc(), F.col("eff_start")], "eff_start", "eff_end")
 
@@ -88,6 +104,43 @@ class Star:
         early = F.col("o_orderdate") < F.lit(datetime.datetime(1998, 1, 1)).cast("timestamp_ntz")
         return self.t("orders").select(F.col("o_orderkey").alias("activity_id"), (2 * F.col("o_custkey") + F.when(early, 1).otherwise(2)).alias("surrogate_key"), F.col("o_orderdate").alias("event_date"), F.col("o_totalprice").alias("amount"))
 
+    def b_activity_roles(self) -> DataFrame:
+        """Activities with a second reference, to the first version of some customer: it fits only early events."""
+        n = self.t("customer").agg(F.count(F.lit(1)).alias("n"))
+        return self.b_activity().join(F.broadcast(n)).withColumn(  # one row
+            "first_key", 2 * (F.col("activity_id") % F.col("n")) + 1).drop("n")
+
+    def named_activity(self) -> DataFrame:
+        """Activities on the current versions' keys, with the customer's natural key."""
+        who = self.g_customer2().select(F.col("surrogate_key").alias("__sk"), "customer_id")
+        named = self.b_activity().join(who, F.col("surrogate_key") == F.col("__sk")).drop("__sk", "surrogate_key")
+        now = self.b_customer2().select("surrogate_key", F.col("customer_id").alias("__id"), "record_status")
+        late = F.col("event_date") >= F.lit(datetime.datetime(1998, 1, 1)).cast("timestamp_ntz")
+        return named.join(now, (F.col("customer_id") == F.col("__id")) & (F.col("record_status") == F.when(late, "C").otherwise("H"))).drop("__id", "record_status")
+
+    def legacy_activity(self) -> DataFrame:
+        """The legacy twin: through the cutoff, with gaps."""
+        return self.b_activity().filter((F.col("event_date") <= F.lit(ACTIVITY_CUTOFF).cast("timestamp_ntz")) & (F.col("activity_id") % 5 != 0))
+
+    def hub_scd2(self) -> DataFrame:
+        """A type-2 hub: two versions of each supplier's account, each with seven references."""
+        s = self.t("supplier")
+        k, day = F.col("s_suppkey"), lambda x: F.lit(datetime.date.fromisoformat(x))
+        version = s.withColumn("v", F.explode(F.array(F.lit(0), F.lit(1))))
+        now = F.col("v") == 1
+        refs = {f"{name}_key": ((k * (i + 3) + F.col("v") * 7) % size + 1).cast("long") for i, (name, size) in enumerate(HUB_REFS.items())}
+        start = F.date_add(day("2023-01-01"), (180 * F.col("v") + (2 * k + F.col("v") + 1) % 30).cast("int"))
+        return version.select(
+            (2 * k + F.col("v") + 1).alias("detail_sk"), F.col("s_name").alias("account_number"), *(c.alias(n) for n, c in refs.items()),
+            start.alias("effectiveStartDate"), F.when(now, day("2999-12-31")).otherwise(F.date_add(start, 179)).alias("effectiveEndDate"),
+            F.when(now, "C").otherwise("H").alias("recordStatus"))
+
+    def lookup(self, name: str) -> DataFrame:
+        """A lookup dimension of the hub: members 1 to its size, and the unknown one."""
+        member = self.spark.range(1, HUB_REFS[name] + 1).select(
+            F.col("id").alias(f"{name}_key"), F.concat(F.lit(name.upper() + "-"), F.col("id").cast("string")).alias("code"))
+        return member.unionByName(self.spark.createDataFrame([(-1, "UNKNOWN")], f"{name}_key long, code string"))
+
     def cutoff(self):
         return F.lit(CUTOFF).cast("timestamp_ntz")
 
@@ -98,6 +151,7 @@ class Star:
         rows = self.t("part").select((F.col("p_partkey") + 1).alias("part_key"), F.concat(F.lit("PRD-"), F.col("p_partkey").cast("string")).alias("part_code"), F.lit("ERP").alias("source_system"), F.col("p_brand").alias("brand"))
         return rows.unionByName(self.spark.createDataFrame([(-1, "UNKNOWN", "N/A", "N/A")], "part_key long, part_code string, source_system string, brand string"))
 
+    @once
     def b_part(self) -> DataFrame:
         return break_scd1(self.g_part(), "part_key", ["part_code", "source_system"])
 
@@ -108,6 +162,7 @@ class Star:
         rows = self.t("supplier").select((F.col("s_suppkey") + 1).alias("supplier_key"), F.col("s_name").alias("supplier_code"))
         return rows.unionByName(self.spark.createDataFrame([(-1, "UNKNOWN")], "supplier_key long, supplier_code string"))
 
+    @once
     def b_supplier(self) -> DataFrame:
         return break_scd1(self.g_supplier(), "supplier_key", ["supplier_code"])
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import atexit
 import uuid
 from collections.abc import Sequence
 
@@ -56,11 +57,28 @@ def resolve_fact(spark: SparkSession, name: str, use_fixed: bool) -> str:
     return fixed if use_fixed and exists(spark, fixed) else name
 
 
+_RUN = uuid.uuid4().hex
+_FOLDERS: set[str] = set()
+
+
+def _remove(spark: SparkSession, folder: str) -> None:
+    try:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+    except Exception:  # the session may be gone at exit; the folder then stays for the cluster's own cleaner
+        pass
+
+
 def frozen(df: DataFrame) -> DataFrame:
-    """A durable copy in the shared folder that `spark.checkpoint.dir` names (our own where unset)."""
+    """A durable copy in the shared folder that `spark.checkpoint.dir` names (one in the warehouse where unset).
+    Removed when the driver's process ends."""
     spark = df.sparkSession
-    base = spark.conf.get("spark.checkpoint.dir", None) or "/tmp/checkpoints"
-    path = f"{base.rstrip('/')}/keymend-tables/{uuid.uuid4().hex}"
+    base = spark.conf.get("spark.checkpoint.dir", None) or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/checkpoints"
+    folder = f"{base.rstrip('/')}/keymend-tables-{_RUN}"
+    if folder not in _FOLDERS:
+        _FOLDERS.add(folder)
+        atexit.register(_remove, spark, folder)
+    path = f"{folder}/{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 

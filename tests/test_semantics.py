@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from keymend.functions.keys import business_key_equal, natural_key, raw_key
 from keymend.operators import align, corrupt, keymap, repair, report, validate
 from keymend.plans import specs
-from keymend.plans.run import rollback_statements, run_alignment, run_repair, swap_statements
+from keymend.plans.run import rollback_statements, run_alignment, run_repair, run_repair_dimensions, run_report, swap_statements
 from keymend.plans.specs import AlignFactSpec, DimSpec
 from keymend.sources import tables
 
@@ -106,6 +106,53 @@ def test_scd2_normaliser(spark):
         corrupt.normalize_scd2(df.drop("valid_to"))
 
 
+def test_scd2_normaliser_leaves_business_columns(spark):
+    df = spark.createDataFrame([(1, "2020-01-01", "2999-12-31", "ACTIVE", 1), (2, "2019-01-01", "2019-12-31", "x", 0), (3, "2019-01-01", "2019-12-31", "x", 7)],
+                               "id long, valid_from string, EffectiveEndDate string, status string, is_current int")
+    got = corrupt.normalize_scd2(df).orderBy("id").collect()
+    assert [(r["status"], r["recordStatus"]) for r in got] == [("ACTIVE", "C"), ("x", "H"), ("x", "7")]
+
+
+def test_report_without_facts(spark):
+    empty = report.issues([], "pre")
+    assert empty.count() == 0 and report.flatten(empty).count() == report.summary(empty).count() == 0
+    assert report.progress(report.compare(empty, empty)).first().asDict() == {"fixed": 0, "still_open": 0}
+
+
+def test_runs_over_two_dimensions(spark):
+    for name in ("legacy2", "gold2"):
+        spark.sql(f"create schema if not exists {name}")
+    make = lambda rows, schema, name: tables.save(spark.createDataFrame(rows, schema), name)
+    make([(1, "a"), (2, "b")], "sk long, code string", "legacy2.cust")
+    make([(1, "x"), (2, "y"), (3, "gone")], "sk long, code string", "legacy2.prod")
+    make([(1, "b"), (2, "a"), (-1, "UNKNOWN")], "sk long, code string", "gold2.cust")
+    make([(1, "y"), (2, "x"), (-1, "UNKNOWN")], "sk long, code string", "gold2.prod")
+    make([(10, 1, 1, 2), (11, 2, 2, 3)], "id long, c long, p long, q long", "gold2.fact")
+    base = {"legacy_schema": "legacy2", "legacy_sk_col": "sk", "legacy_nk_cols": "code", "new_catalog_schema": "gold2", "new_sk_col": "sk", "new_nk_cols": "code",
+            "staging_schema": "staging2", "keymap_schema": "maps2", "dry_run": "false"}
+    ps = [base | {"legacy_dim_table": d, "new_dim_table": d, "fact_tables": f"gold2.fact:{fks}"} for d, fks in (("cust", "c"), ("prod", "p;q"))]
+    dims = [{"table": f"gold2.{d}", "golden": f"legacy2.{d}", "sk_col": "sk", "nk_cols": "code", "fact_tables": f"gold2.fact:{fks}, gold2.none:z"}
+            for d, fks in (("cust", "c"), ("prod", "p;q"), ("lost", "c"))]
+    pre = run_report(spark, dims, "pre")
+    assert set(pre.skipped) == {"gold2.none", "gold2.lost"}
+    assert {(r["dimension"], r["issue_type"], r["sk_count"]) for r in pre.frames["summary:pre"].collect()} == {
+        ("cust", "SILENT_CORRUPTION", 2), ("prod", "SILENT_CORRUPTION", 2), ("prod", "FK_ORPHAN", 1)}
+    wet = run_repair_dimensions(spark, ps)
+    assert {r["id"]: (r["c"], r["p"], r["q"]) for r in spark.table("gold2.fact_fixed").collect()} == {10: (2, 2, 1), 11: (1, 1, -1)}
+    assert wet.frames["gate:gold2.fact.q"].first()["status"] == "PASS" and "prod/keymap" in wet.frames and wet.swap_sql == swap_statements(["gold2.fact"])
+    assert set(tables.properties(spark, "gold2.fact_fixed")["rekeyed_by"].split(",")) == {"maps2.cust_keymap", "maps2.prod_keymap"}
+    with pytest.raises(ValueError):
+        run_repair_dimensions(spark, [p | {"fact_tables": p["fact_tables"].replace("fact", "fact_fixed")} for p in ps])
+    with pytest.raises(ValueError):
+        run_repair_dimensions(spark, [ps[0], ps[1] | {"fact_tables": "gold2.fact:c"}])
+    both = run_report(spark, dims[:2], "compare", "staging2")
+    assert tables.exists(spark, "staging2.sk_integrity_report_pre") and tables.exists(spark, "staging2.sk_integrity_report_post")
+    assert both.frames["progress"].first()["fixed"] == 1
+    for statement in wet.swap_sql + rollback_statements(["gold2.fact"]) + wet.swap_sql:
+        spark.sql(statement)
+    assert {r["id"]: r["c"] for r in spark.table("gold2.fact").collect()} == {10: 2, 11: 1} and tables.exists(spark, "gold2.fact_old")
+
+
 def test_numbering_is_global(spark):
     got = tables.numbered(spark.range(1000).repartition(7), [F.col("id").desc()], "n").collect()
     assert all(r["n"] == 1000 - r["id"] for r in got)
@@ -114,7 +161,7 @@ def test_numbering_is_global(spark):
 def test_parsers():
     assert specs.parse_facts("t:a;b, u:c, t:b;d") == [("t", ("a", "b", "d")), ("u", ("c",))]
     assert specs.parse_facts("t:a, t:b", merge=False) == [("t", ("a",)), ("t", ("b",))]
-    assert specs.split_groups("a;b, c") == [("a", "b"), ("c",)]
+    assert specs.split_groups("a;b, c") == specs.split_groups("a;b,, c") == [("a", "b"), ("c",)]
     for bad in ("t", "", "t:"):
         with pytest.raises(ValueError):
             specs.parse_facts(bad)
