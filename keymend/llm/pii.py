@@ -3,19 +3,22 @@
 Base spans of four kinds (e-mail, IP, card, phone) come from patterns and checks and always stay.
 Further candidates come from wider patterns: written-out e-mail addresses, phone numbers without a country
 code, social-security numbers, and long hexadecimal secrets. Every candidate, base ones included,
-gets the votes (1, 0 or none) of five labelers:
+gets the votes (1, 0 or none) of six labelers:
 
   form      regex: a strict form of the kind
   check     regex: digits or letters that are plausible (length, not all equal)
-  gazetteer a word of a list of contact words stands just before
+  gazetteer the span's own value is in a list (top-level domains, dialling codes, card issuers, digest
+            lengths: for; reserved networks, toll-free codes: against)
+  cue       a contact word stands just before
   context   a word that speaks against it (order, page, version, ...) stands just before
   delimited stands alone between white space or punctuation
 
-Votes take finitely many patterns, at most 3**5 times the kinds, so only their counts go to the
-driver, whatever the input. There expectation-maximisation estimates each labeler's reliability and each
-pattern's probability (Dawid-Skene with two classes), and a logistic span classifier over the votes and the
-kind is trained on these. Its decisions go back as a literal map; a wider candidate is added if its probability
-is at least ADD and it overlaps no base span.
+and features of the span: its length, the share of digits, and what stands on either side. Spans take finitely many
+patterns of votes and features (CELLS at most), so only their counts go to the driver, whatever the input. There
+expectation-maximisation over the votes estimates each labeler's reliability and each span's probability
+(Dawid-Skene with two classes), and a logistic span classifier over votes, features and kind is trained on
+these. Its decisions go back as a literal map; a wider candidate is added if its probability is at least ADD and it
+overlaps no base span.
 
 Cases: null and empty texts have no spans; equal and overlapping spans of different kinds all stay among base
 kinds; repeated rows each get a row; empty tables give empty results; extra input columns are
@@ -34,6 +37,8 @@ from keymend.llm.common import documents, stash
 KINDS = ("email", "ip", "card", "phone")
 ADD = 0.9
 ROUNDS = 30
+#: Most patterns that can occur: eight kinds, six votes of three values, features of four and three values each.
+CELLS = 8 * 3**6 * 4**2 * 3**2
 #: Outputs that are gathered at once in a running pass over an array.
 BLOCK = 128
 
@@ -65,6 +70,20 @@ FOR = "mail email contact phone tel call mobile fax card visa address host ip ss
 AGAINST = "order page version isbn issue item part no id ref build section figure table chapter model"
 
 
+# Of the gazetteers, by kind: values of personal data, and values that are none.
+_DOMAINS = "com org net edu gov info io co de fr es it nl uk eu us ca"
+_DIAL = "1 7 20 27 30 31 32 33 34 36 39 40 41 43 44 45 46 47 48 49 51 52 53 54 55 56 57 58 60 61 62 63 64 65 66 81 82 84 86 90 91 92 93 94 95 98"
+LISTED = {
+    "email": r"\.(?:" + "|".join(_DOMAINS.split()) + ")$", "email_spelled": r"(?:" + "|".join(_DOMAINS.split()) + ")$",
+    "phone": r"^\+(?:" + "|".join(_DIAL.split()) + ")", "card": r"^(?:4|5[1-5]|2[2-7]|3[47]|35|6011|65)",
+    "secret": r"^(?:.{32}|.{40}|.{56}|.{64}|.{96}|.{128})$",
+}
+UNLISTED = {
+    "ip": r"^(?:0|10|127|22[4-9]|23[0-9]|24[0-9]|25[0-5])\.|^192\.168\.|^169\.254\.", "phone_local": r"^\(?(?:800|888|877|866|900)",
+    "ssn": r"^(?:000|666|9)", "email": r"@(?:localhost|test|invalid)\.",
+}
+
+
 def _let(x: Column, use) -> Column:
     """`use` of a value that is worked out once, however often `use` names it."""
     return F.transform(F.array(x), use)[0]
@@ -147,24 +166,36 @@ def _checked(kind: str, spans: Column) -> Column:
 
 
 def _votes(kind: str, s: Column) -> Column:
-    """The five votes as a string of 1, 0 and - (none)."""
+    """The six votes as characters 1, 0 and - (none), a bar, and the four features of the span."""
     before = F.lower(s["before"])
     said = lambda words: before.rlike(r"(?<![a-z])(?:" + "|".join(words.split()) + r")[a-z]{0,2}[\W_]{0,6}$")
     form = F.lit("1") if kind in KINDS else F.when(s["hit"].rlike(STRICT[kind]), "1").otherwise("-")
     bare = F.regexp_replace(s["hit"], r"\W", "")
     equal = (bare != "") & (F.replace(bare, F.left(bare, F.lit(1)), F.lit("")) == "")
     plausible = F.when(equal, "0").when(F.char_length(s["hit"]) >= 7, "1").otherwise("-")
-    alone = (F.right(s["before"], F.lit(1)).rlike(r"^[\s\"'(<\[:=]?$")) & (F.coalesce(s["after"], F.lit("")).rlike(r"^[\s\"')>\],.;!?]?$"))
-    return F.concat(form, plausible, F.when(said(FOR), "1").otherwise("-"), F.when(said(AGAINST), "0").otherwise("-"),
-                    F.when(alone, "1").otherwise("0"))
+    never = F.lit(False)
+    listed = (F.when(s["hit"].rlike(UNLISTED[kind]) if kind in UNLISTED else never, "0")
+              .when(F.lower(s["hit"]).rlike(LISTED[kind]) if kind in LISTED else never, "1").otherwise("-"))
+    last, after = F.right(s["before"], F.lit(1)), F.coalesce(s["after"], F.lit(""))
+    alone = last.rlike(r"^[\s\"'(<\[:=]?$") & after.rlike(r"^[\s\"')>\],.;!?]?$")
+    n, digits = F.char_length(s["hit"]), F.char_length(_digits(s["hit"]))
+    size = F.when(n <= 8, "a").when(n <= 16, "b").when(n <= 31, "c").otherwise("d")
+    share = F.when(digits == 0, "e").when(digits * 2 < n, "f").when(digits < n, "g").otherwise("h")
+    side = lambda c, names: F.when(c.rlike(r"^\s?$"), names[0]).when(c.rlike(r"^\w$"), names[1]).otherwise(names[2])
+    return F.concat(form, plausible, listed, F.when(said(FOR), "1").otherwise("-"), F.when(said(AGAINST), "0").otherwise("-"),
+                    F.when(alone, "1").otherwise("0"), F.lit("|"), size, share, side(last, "ijk"), side(after, "lmn"))
 
 
 def reliabilities(cells: dict[tuple[str, str], int], rounds: int = ROUNDS) -> dict[tuple[str, str], float]:
     """Expectation-maximisation over (kind, votes) -> count: probability that such a span is
     personal data. Each labeler has the chance of each vote in either class; kinds share labelers
-    and have shares of their own."""
+    and have shares of their own. Features (after a bar) play no part."""
     if not cells:
         return {}
+    whole, cells = cells, {}
+    for (kind, code), count in whole.items():
+        key = kind, code.split("|")[0]
+        cells[key] = cells.get(key, 0) + count
     vote = lambda v: {"1": 2, "0": 1, "-": 0}[v]
     n = len(next(iter(cells))[1])
     post = {k: min(0.95, max(0.05, 0.5 + 0.15 * (k[1].count("1") - 2 * k[1].count("0") - 1))) for k in cells}
@@ -180,11 +211,11 @@ def reliabilities(cells: dict[tuple[str, str], int], rounds: int = ROUNDS) -> di
         for kind, votes in cells:
             score = [math.log(share[kind][c]) + sum(math.log(table[c][j][vote(v)] / sum(table[c][j])) for j, v in enumerate(votes)) for c in range(2)]
             post[kind, votes] = 1 / (1 + math.exp(max(-500, min(500, score[0] - score[1]))))
-    return post
+    return {(kind, code): post[kind, code.split("|")[0]] for kind, code in whole}
 
 
 def classifier(cells: dict[tuple[str, str], int], soft: dict[tuple[str, str], float], steps: int = 400) -> dict[tuple[str, str], float]:
-    """Logistic span classifier over votes and kind, trained on the cells with their soft labels;
+    """Logistic span classifier over votes, features and kind, trained on the cells with their soft labels;
     returns its probability for each cell."""
     if not cells:
         return {}
@@ -209,7 +240,7 @@ def classifier(cells: dict[tuple[str, str], int], soft: dict[tuple[str, str], fl
 
 
 def find_pii(docs: DataFrame) -> DataFrame:
-    """doc_id, counts of the base kinds, base_sha256, spans and n_added for every row of `docs` (doc_id, text)."""
+    """doc_id, counts of the base kinds, base_sha256, spans, n_added and n_spans for every row of `docs` (doc_id, text)."""
     text = F.coalesce(F.col("text"), F.lit(""))
 
     def marked(kind, spans):
@@ -221,7 +252,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     wide = {k: marked(k, _matches(text, p, hints[k])).alias(k) for k, p in WIDE.items()}
     rows = stash(docs.select("doc_id", *base.values(), F.concat(*wide.values()).alias("wide")), "pii-spans")
     each = rows.select(F.explode(F.concat(*KINDS, "wide")).alias("s")).groupBy("s.kind", "s.votes").agg(F.count(F.lit(1)).alias("n"))
-    cells = {(r["kind"], r["votes"]): r["n"] for r in each.orderBy("kind", "votes").collect()}  # at most 8 * 3**5 rows
+    cells = {(r["kind"], r["votes"]): r["n"] for r in each.orderBy("kind", "votes").collect()}  # at most CELLS rows
     judged = classifier(cells, reliabilities(cells))
     good = [f"{k}|{v}" for (k, v), p in judged.items() if p >= ADD and k in WIDE]
     base_spans = F.concat(*KINDS)
@@ -235,7 +266,7 @@ def find_pii(docs: DataFrame) -> DataFrame:
     return added.select(
         "doc_id", *(F.size(k).cast("long").alias(f"n_{k}") for k in KINDS),
         F.sha2(joined(F.col("base")), 256).alias("base_sha256"), joined(F.concat("base", "added")).alias("spans"),
-        F.size("added").cast("long").alias("n_added"))
+        F.size("added").cast("long").alias("n_added"), (F.size("base") + F.size("added")).cast("long").alias("n_spans"))
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:

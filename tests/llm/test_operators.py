@@ -142,6 +142,29 @@ def test_pii(docs):
     assert p["ssn", "11111"] > 0.9 > 0.5 > p["ssn", "-0-00"]
 
 
+def test_pii_added_spans(spark):
+    """Recall and precision of the wider kinds on planted spans, half of them after words that speak against them or malformed."""
+    r = random.Random(9)
+    digits = lambda n: "".join(r.choice("0123456789") for _ in range(n))
+    good = {
+        "email_spelled": lambda: f"write to mail: {r.choice('abc')}{digits(2)} [at] site{digits(1)} [dot] com now",
+        "phone_local": lambda: f"call ({r.randint(201, 699)}) {r.randint(201, 699)}-{digits(4)}.",
+        "ssn": lambda: f"his ssn {r.randint(100, 600)}-{r.randint(10, 99)}-{digits(4)} is",
+        "secret": lambda: 'the token = "' + "".join(r.choice("0123456789abcdef") for _ in range(40)) + '" here',
+    }
+    bad = {
+        "phone_local": lambda: f"part no 555.555.{digits(4)}x", "ssn": lambda: f"order 000-{r.randint(10, 99)}-{digits(4)}_",
+        "secret": lambda: "version " + "0" * 36,
+    }
+    rows = [(kind, True, make()) for kind, make in good.items() for _ in range(40)] + [(kind, False, make()) for kind, make in bad.items() for _ in range(20)]
+    got = {x["doc_id"]: x for x in pii.find_pii(spark.createDataFrame([(i, t) for i, (_, _, t) in enumerate(rows)], "doc_id long, text string")).collect()}
+    for kind in good:
+        hit = [kind in got[i]["spans"] for i, (k, ok, _) in enumerate(rows) if k == kind and ok]
+        miss = [kind in got[i]["spans"] for i, (k, ok, _) in enumerate(rows) if k == kind and not ok]
+        assert sum(hit) >= 0.9 * len(hit) and not any(miss), (kind, sum(hit), sum(miss))
+    assert all(x["n_spans"] == x["n_email"] + x["n_ip"] + x["n_card"] + x["n_phone"] + x["n_added"] for x in got.values())
+
+
 def test_pii_with_many_spans(spark):
     texts = {1: "a@b.c ssn 123-45-6789, 123-45-6789@q.r " * 300, 2: "+1 212 555 1212 4111 1111 1111 1111 1.2.3.4 " * 200, 3: "ssn 123-45-6789\n" * 129, 4: "x" * pii.BLOCK}
     got = {r["doc_id"]: r for r in pii.find_pii(spark.createDataFrame(list(texts.items()), "doc_id long, text string")).collect()}
