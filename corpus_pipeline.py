@@ -2,18 +2,17 @@
 
 Each stage works on all rows that the one before kept and its decisions take effect. Mixing
 repeats a document as many times as the mix takes it, to the nearest whole number, and leaves
-out documents that it takes less than half of. Rows that repeat a doc_id share its verdicts, and each is
-repeated as often as the mix takes the rows of that doc_id on average; of those that also repeat the
-text, exact dedup leaves one. Rows without a doc_id cannot be told apart and go in the
+out documents that it takes less than half of. Rows that repeat a doc_id stay together: the verdicts hold
+for all of them, and each is repeated as often as the mix takes the rows of that doc_id on average. Rows without a doc_id cannot be told apart and go in the
 first stage. The last stage returns packed pieces instead of documents."""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keymend.llm.common import documents, stash
-from keymend.llm.exact_dedup import exact_dedup, normalised
+from keymend.llm.exact_dedup import exact_dedup
 from keymend.llm.minhash_forest import minhash_dedup
 from keymend.llm.pack import pack
 from keymend.llm.quality_rules import quality_rules
@@ -31,13 +30,9 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group of equal texts, that with the smallest doc_id; null and empty texts are one group.
-    Rows that repeat doc_id and text are copies like others. Rows of a kept doc_id with another text have a group of their
-    own and stay with it."""
-    kept = _kept(docs, exact_dedup(docs))
-    same = Window.partitionBy("doc_id", "__digest").orderBy("__digest")
-    one = kept.withColumn("__digest", F.sha2(normalised(), 256)).withColumn("__nth", F.row_number().over(same))
-    return one.filter("__nth = 1").select(*docs.columns)
+    """The documents with the smallest doc_id of each group of equal texts; null and empty texts are one group. Rows
+    that repeat a kept doc_id all stay, whatever their texts, since the doc_id is what a verdict is about."""
+    return _kept(docs, exact_dedup(docs))
 
 
 def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -403,14 +403,6 @@ def test_pipeline_stages_on_empty_tables(spark):
         assert stage(spark, spark.createDataFrame([], SCHEMA), "").count() == 0, name
 
 
-def test_exact_stage_leaves_one_of_repeated_rows(spark):
-    import corpus_pipeline
-
-    rows = [(1, "a b", "s", "en"), (1, "a  b", "t", "de"), (1, "c", "s", "en"), (2, "a b", "s", "en"), (3, None, "s", "en"), (4, "", "s", "en")]
-    got = corpus_pipeline.exact(spark, spark.createDataFrame(rows, SCHEMA), "").collect()
-    assert sorted((r["doc_id"], " ".join((r["text"] or "").split())) for r in got) == [(1, "a b"), (1, "c"), (3, "")]
-
-
 def test_mixing_of_repeated_rows(spark):
     import corpus_pipeline
 
