@@ -1,9 +1,9 @@
 """Exact dedup by a heavy-hitter split (DataFrame functions only).
 
 1. Each text is normalised and digested once (SHA-256); only `(doc_id, digest)` goes on.
-2. Misra-Gries with K counters: every scan partition's exact counts are cut down to K counters
-   (the (K+1)-th largest count is subtracted), the cut summaries are added and cut again. By
-   the merge bound every digest with more than rows/(K+1) rows is among the at most K survivors.
+2. A frequent-items sketch of the Misra-Gries family (Spark's approx_top_k, which merges) is filled where the rows are; one
+   sketch of at most TRACKED * K counters a partition is sent on. A digest with more than rows/(K+1) rows
+   is among its K first, since the sketch errs by 3.5 / (TRACKED * K) of the rows at most.
 3. Survivors are verified: their exact sizes and smallest doc_id come from one aggregation over
    their rows, and this table of at most K rows is broadcast, so that the rows of frequent
    digests are decided where they are and never shuffled.
@@ -23,6 +23,8 @@ from keymend.llm.common import documents, stash
 
 #: Counters of the Misra-Gries summary, and so the largest number of rows broadcast.
 COUNTERS = 256
+#: Counters tracked for each of these.
+TRACKED = 4
 
 
 def normalised(text="text"):
@@ -30,18 +32,11 @@ def normalised(text="text"):
 
 
 def frequent(rows: DataFrame, key: str, counters: int = COUNTERS) -> DataFrame:
-    """Misra-Gries: at most `counters` values of `key`, among them every one with more than
-    1 / (counters + 1) of the rows."""
-    def cut(df: DataFrame, by: list[str]) -> DataFrame:
-        w = Window.partitionBy(*by).orderBy(F.desc("n"), key)
-        top = df.withColumn("rk", F.row_number().over(w)).filter(F.col("rk") <= counters + 1)
-        low = F.coalesce(F.max(F.when(F.col("rk") == counters + 1, F.col("n"))).over(Window.partitionBy(*by)), F.lit(0))
-        return top.withColumn("n", F.col("n") - low).filter((F.col("n") > 0) & (F.col("rk") <= counters))
-
-    local = rows.groupBy(F.spark_partition_id().alias("part"), key).agg(F.count(F.lit(1)).alias("n"))
-    merged = cut(local, ["part"]).groupBy(key).agg(F.sum("n").alias("n"))
-    last = merged.orderBy(F.desc("n"), key).limit(counters + 1).withColumn("one", F.lit(1))
-    return cut(last, ["one"]).select(key)
+    """At most `counters` values of `key`, among them every one with more than 1 / (counters + 1) of the
+    rows. Counts are estimates; others may be among them."""
+    tracked = TRACKED * max(counters, COUNTERS)
+    top = rows.agg(F.expr(f"approx_top_k({key}, {counters}, {tracked})").alias("top"))
+    return top.select(F.explode("top").alias("t")).select(F.col("t.item").alias(key)).filter(F.col(key).isNotNull())
 
 
 def exact_dedup(docs: DataFrame, counters: int = COUNTERS) -> DataFrame:
