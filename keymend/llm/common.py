@@ -76,6 +76,20 @@ def n_parts(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+#: Bytes of the input for each bucket that a task holds whole, and the most buckets that a block sends to.
+BUCKET_BYTES = 256 << 20
+MAX_BUCKETS = 200_000
+
+
+def n_buckets(rows: DataFrame) -> int:
+    """Buckets for what `rows` send each other: the shuffle partitions, or more where the files that `rows` are read
+    from hold over BUCKET_BYTES for each. Sources of unknown size don't count. No job is run for it."""
+    leaves = rows._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = [int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.length())]
+    size = sum(x for x in sizes if x < 2**62)  # Spark's stand-in for an unknown size is beyond
+    return max(n_parts(rows.sparkSession), min(size // BUCKET_BYTES, MAX_BUCKETS))
+
+
 # --- joins with hot keys -------------------------------------------------------------------
 
 def attach(rows: DataFrame, table: DataFrame, on: str, total: int) -> DataFrame:

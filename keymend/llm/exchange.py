@@ -16,7 +16,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keymend.llm.common import chunks, n_parts, sort_runs
+from keymend.llm.common import chunks, n_buckets, sort_runs
 
 #: Items gathered before a block is closed.
 BLOCK_ITEMS = 1_500_000
@@ -90,14 +90,21 @@ class _Block:
         send = send[np.argsort(to, kind="stable")]
         cuts = np.searchsorted(np.sort(to), np.arange(buckets + 1))
         table, starts = docs.astype("<i8").tobytes(), base.astype("<i8").tobytes()
+
+        def ids(s):
+            """Of the table, the documents that the items of a message stand in: never more than the items."""
+            if not later:
+                return None, None
+            used = np.unique(np.searchsorted(base, place[s], "right") - 1)
+            return docs[used].astype("<i8").tobytes(), base[used].astype("<i8").tobytes()
+
         out = [[] for _ in _FIELDS]
         for b in range(buckets):
             if cuts[b] < cuts[b + 1]:
                 s = send[cuts[b] : cuts[b + 1]]
                 places, wide = _pack_places(place[s])
                 quotient = key[s] // np.uint64(buckets)
-                row = (b, block, _pack_keys(quotient, key_bytes), None if more is None else more[s].tobytes(), places, wide,
-                       table if later else None, starts if later else None, False)
+                row = (b, block, _pack_keys(quotient, key_bytes), None if more is None else more[s].tobytes(), places, wide, *ids(s), False)
                 for col, v in zip(out, row, strict=True):
                     col.append(v)
         places, wide = _pack_places(place[known])
@@ -191,8 +198,7 @@ def find_repeats(rows: DataFrame, items: Items, later: bool, key_bytes: int = 8)
     items: with `later`, an item that also stands earlier (smaller doc_id, or the same document
     and a smaller position); otherwise any item that stands in more than one place. `key_bytes`
     cuts keys short where a rare false hit does no harm."""
-    spark = rows.sparkSession
-    buckets = n_parts(spark)
+    buckets = n_buckets(rows)
     mail = rows.mapInArrow(_sender(items, buckets, later, key_bytes), _MESSAGE)
     replies = mail.groupBy("bucket").applyInArrow(_bucket(later, key_bytes), _REPLY)
     return replies.groupBy("block").applyInArrow(_answer, "doc_id long, hits binary").filter(F.length("hits") > 0)

@@ -29,7 +29,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keymend.llm.common import Words, arrow_batches, chunks, documents, id_array, ids_back, mix, n_parts, prefix_hash, span_hash, stash
+from keymend.llm.common import Words, arrow_batches, chunks, documents, id_array, ids_back, mix, n_buckets, prefix_hash, span_hash, stash
 
 DIM = 32
 SAMPLE = 20000
@@ -223,8 +223,8 @@ def _pool(t: pa.Table) -> pa.Table:
 def pooled(docs: DataFrame) -> DataFrame:
     """doc_id and packed features of every row of `docs` (doc_id, text). `docs` is read twice, in the same partitions
     and order (a table, not the end of a shuffle), or the job stops: texts needn't be kept while vectors are summed."""
-    buckets = n_parts(docs.sparkSession)
     docs = docs.select("doc_id", "text")
+    buckets = n_buckets(docs)
     answers = docs.mapInArrow(_blocks(buckets, False), _ddl(_MESSAGE)).groupBy("bucket").applyInArrow(_add_up, _ddl(_ANSWER))
     mail = docs.mapInArrow(_blocks(buckets, True), _ddl(_TEXTS)).unionByName(answers, allowMissingColumns=True)
     return mail.groupBy("block").applyInArrow(_pool, "doc_id long, features binary")

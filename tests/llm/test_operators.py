@@ -1,5 +1,6 @@
 """Operators against their plain versions, on documents that hold every odd case at once."""
 
+import os
 import random
 import re
 import zlib
@@ -12,7 +13,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from pyspark.sql import functions as F
 
-from keymend.llm import brown_lm, exact_dedup, minhash_forest, pack, pii, quality_classifier, quality_rules, source_mix, substring_dedup, suffix_dedup, suffix_sort, tokens
+from keymend.llm import brown_lm, common, exact_dedup, minhash_forest, pack, pii, quality_classifier, quality_rules, source_mix, substring_dedup, suffix_dedup, suffix_sort, tokens
 from keymend.llm.components import components
 from tests.llm import brute
 
@@ -436,3 +437,33 @@ def test_tokens(texts):
     off = np.cumsum([0, *map(len, raw)])
     got = enc.encode(np.frombuffer(b"".join(raw), np.uint8), off)
     assert [g.tolist() for g in got] == [enc.whole.encode(t, add_special_tokens=False).ids for t in texts]
+
+
+def test_buckets_grow_with_the_files(spark, tmp_path, monkeypatch):
+    path = str(tmp_path / "t")
+    spark.createDataFrame([(i, f"text {i} " * 9) for i in range(2000)], "doc_id long, text string").repartition(3).write.parquet(path)
+    table, least = spark.read.parquet(path), common.n_parts(spark)
+    size = sum(os.path.getsize(f"{path}/{f}") for f in os.listdir(path) if f.startswith("part"))
+    assert common.n_buckets(table) == common.n_buckets(spark.createDataFrame([], SCHEMA)) == least
+    monkeypatch.setattr(common, "BUCKET_BYTES", size // 50)
+    assert 50 <= common.n_buckets(table.select("text")) <= 51
+    assert common.n_buckets(spark.createDataFrame([(1, "a")], "doc_id long, text string").select("text")) == least
+
+
+def test_classifier_stops_where_blocks_differ():
+    """Answers that meet no texts, or texts that meet no answers, are an error and not a wrong score."""
+    data = np.frombuffer(b"a b c", np.uint8)
+    rows, off = pa.RecordBatch.from_pydict({"doc_id": pa.array([1], pa.int64())}), np.array([0, 5])
+    out = []
+    for texts in (True, False):
+        block = quality_classifier._Block()
+        block.add(rows, *quality_classifier._tokens(data, off))
+        out.append(pa.Table.from_batches([block.rows(0, 0, 1, texts)]))
+    head, mail = out
+    answer = quality_classifier._add_up(mail)
+    both = pa.concat_tables([head, answer], promote_options="default")
+    assert quality_classifier._pool(both).column("doc_id").to_pylist() == [1]
+    with pytest.raises(IndexError):
+        quality_classifier._pool(both.slice(0, 1))
+    with pytest.raises(RuntimeError):
+        quality_classifier._pool(both.slice(1))
