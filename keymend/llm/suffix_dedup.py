@@ -45,9 +45,23 @@ HOT_REGIONS = 4000
 SORT_BYTES = 3 << 20
 
 _SPAN = LENGTH - GRAM + 1  # grams of a string
+_FIRST_BITS = 20
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
 
+def _among(h: np.ndarray, some: np.ndarray) -> np.ndarray:
+    """Where in `h` a hash of `some` stands. A table of their first bits leaves out nearly all other places, so that
+    `h` isn't sorted."""
+    if not len(some):
+        return np.empty(0, np.int64)
+    some, cut = np.unique(some), np.uint64(64 - _FIRST_BITS)
+    seen = np.zeros(1 << _FIRST_BITS, bool)
+    seen[some >> cut] = True
+    at = np.flatnonzero(seen[h >> cut])
+    which = np.minimum(np.searchsorted(some, h[at]), len(some) - 1)
+    return at[some[which] == h[at]]
+
+
 def regions(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     """Of a chunk: document, first start, number of starts, representative, and number of
     places of the representative, of each region."""
@@ -76,7 +90,7 @@ def regions(data: np.ndarray, off: np.ndarray) -> tuple[np.ndarray, ...]:
     count = np.diff(np.append(first, len(start)))
     begin, rep = start[first], value[first]
     # places of the representative inside each region
-    held = np.flatnonzero(np.isin(h, rep)) if len(rep) else none
+    held = _among(h, rep)
     key = h[held]
     order = np.lexsort((held, key))
     held, key = held[order], key[order]
