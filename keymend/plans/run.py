@@ -152,8 +152,9 @@ def run_report(spark: SparkSession, dims: Sequence[dict[str, str]], mode: str =
 
 
 def run_alignment(spark: SparkSession, p: dict[str, str]) -> Result:
-    """Key-map and audits; with dry_run='false' also the dimension and facts on legacy keys and their checks. A dimension that an
-    earlier run aligned by the same key-map is refused."""
+    """Key-map and audits; with dry_run='false' also the dimension and facts on legacy keys and their checks. The audits count, in
+    a dry run too, the fact rows by the branch that gives their key. A dimension that an earlier run aligned by the same
+    key-map is refused."""
     old, new, facts = align_specs(p)
     dry = str(p.get("dry_run", "true")).lower() != "false"
     unknown = int(p.get("unknown_member_sk") or align.UNKNOWN)
@@ -176,10 +177,11 @@ def run_alignment(spark: SparkSession, p: dict[str, str]) -> Result:
     for f in facts:
         fact, legacy = spark.table(f.table), spark.table(_legacy(p, f.legacy_table))
         result.frames[f"match:{f.table}"] = align.match_audit(fact, legacy, f, limit)
+        rebuilt = align.align_fact(fact, legacy, f, aligned, new, km, limit, unknown, flag(p, "park_missing"), only, flag(p, "dated_lookup"), True)
+        result.frames[f"branches:{f.table}"] = rebuilt.groupBy("branch").agg(F.count(F.lit(1)).alias("fact_rows"))
         if dry:
             continue
-        fixed = save(align.align_fact(
-            fact, legacy, f, aligned, new, km, limit, unknown, flag(p, "park_missing"), only, flag(p, "dated_lookup")), Names.fixed(f.table))
+        fixed = save(rebuilt.drop("branch"), Names.fixed(f.table))
         result.frames[f"stats:{f.table}"] = align.align_stats(fact, legacy, f, limit)
         result.frames[f"gate:{f.table}"] = validate.gate(fact, fixed, f.fk, aligned, new.sk, f.table, unknown)
     if not dry:

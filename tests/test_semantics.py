@@ -201,7 +201,9 @@ def test_whole_runs(spark):
         run_repair(spark, p | {"dry_run": "false", "fact_tables": "gold.fact_fixed:customer_sk"})
     a = p | {"legacy_fact_tables": "FactSales", "legacy_fact_fk_cols": "CustomerSK", "fact_event_date_cols": "order_date", "legacy_fact_bk_cols": "OrderID",
              "new_fact_bk_cols": "order_id", "fact_nk_cols": "customer_code", "cutoff_mode": "explicit", "cutoff_date": "2024-01-31"}
-    assert run_alignment(spark, a).frames["orphan_new"].first()["n"] == 2
+    plan = run_alignment(spark, a)
+    assert plan.frames["orphan_new"].first()["n"] == 2 and not tables.exists(spark, "gold.dim_fixed")
+    assert {r["branch"]: r["fact_rows"] for r in plan.frames["branches:gold.fact"].collect()} == {"LEGACY_FACT": 2, "NATURAL_KEY": 2}
     run_alignment(spark, a | {"dry_run": "false", "orphan_new_dim_sk_policy": "allocate_after_max"})
     assert {r["customer_code"].strip(): r["customer_sk"] for r in spark.table("gold.dim_fixed").collect()} == {"B": 2, "A": 1, "new": 4, "UNKNOWN": -1}
     assert {r["order_id"]: r["customer_sk"] for r in spark.table("gold.fact_fixed").collect()} == {10: 1, 11: 2, 12: 4, 13: 3}
