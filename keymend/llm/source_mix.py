@@ -30,6 +30,7 @@ BLOCK_WORDS = 1024
 MIN_SLOTS = 65536
 #: Rows or slots in a chunk of the two-level prefix sums.
 CHUNK = 20000
+#: Cells of the unit interval that slots and sources meet in; as many as there are sources, if that is more.
 GRID = 1024
 
 
@@ -53,18 +54,19 @@ def targets(sources: DataFrame) -> DataFrame:
     return stopped.withColumn("target", F.when(F.col("stops"), limit.cast("double")).otherwise(share)).drop("stops")
 
 
-def schedule(goals: DataFrame, total: int, block: int) -> DataFrame:
-    """src, slot, rank: the source of each slot and the slot's number within its source."""
-    spark = goals.sparkSession
+def schedule(goals: DataFrame, total: int, block: int, n_sources: int = 1) -> DataFrame:
+    """src, slot, rank: the source of each slot and the slot's number within its source. A cell that many small
+    sources share holds few slots: slots and sources meet about slots * (1 + sources / grid) times."""
+    spark, grid = goals.sparkSession, max(GRID, n_sources)
     upto = Window.partitionBy(F.lit(1)).orderBy(F.col("source").isNull(), F.col("source"))
     ends = goals.withColumn("high", F.sum("target").over(upto) / F.lit(float(max(total, 1))))
     last = F.lead("src").over(upto).isNull()
     ends = ends.select("src", F.lag("high", 1, 0.0).over(upto).alias("low"), F.when(last, 2.0).otherwise(F.col("high")).alias("high"))
     cells = ends.filter("high > low").select("src", "low", "high", F.explode(F.sequence(
-        F.floor(F.least(F.col("low"), F.lit(1.0)) * GRID), F.floor(F.least(F.col("high"), F.lit(1.0)) * GRID))).alias("cell"))
+        F.floor(F.least(F.col("low"), F.lit(1.0)) * grid), F.floor(F.least(F.col("high"), F.lit(1.0)) * grid))).alias("cell"))
     point = (F.col("slot") + 0.5) * GOLDEN
     slots = spark.range(-(-total // block)).withColumnRenamed("id", "slot").withColumn("x", point - F.floor(point))
-    slots = slots.withColumn("cell", F.floor(F.col("x") * GRID))
+    slots = slots.withColumn("cell", F.floor(F.col("x") * grid))
     hit = slots.join(cells, "cell").filter("x >= low and x < high").select("src", "slot", F.floor(F.col("slot") / CHUNK).alias("chunk"))
     return _ranked(hit, "slot", F.lit(1).cast("long"), "rank").select("src", "slot", "rank")
 
@@ -93,7 +95,7 @@ def mix_sources(docs: DataFrame) -> tuple[DataFrame, DataFrame]:
     count, total = rows.agg(F.count(F.lit(1)), F.coalesce(F.sum("size"), F.lit(0))).first()
     block = max(1, min(BLOCK_WORDS, total // MIN_SLOTS))
     placed = attach(rows.drop("source"), goals.drop("source", "weight"), "src", count)
-    slots = stash(schedule(goals, total, block), "slots")
+    slots = stash(schedule(goals, total, block, goals.count()), "slots")
     # null ids after all others, in chunks of their own
     code = F.coalesce(F.md5(F.concat(F.lit("mix:"), F.col("doc_id").cast("string"))), F.concat(F.lit("~"), F.col("late")))
     chunks = F.ceil(F.col("cnt") / CHUNK)

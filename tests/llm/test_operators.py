@@ -254,13 +254,12 @@ def test_mix(docs):
     assert again == {(r["slot"], r["doc_id"], r["low"], r["high"]) for r in mix.collect()}
 
 
-def test_mix_gives_null_ids_their_place(spark):
+def _mixed_as_in_sql(spark, rows):
+    """The operator's frame over `rows`, after a comparison with its SQL."""
     import duckdb
 
     from tests.conftest import rows_of
 
-    r = random.Random(8)
-    rows = [(i if i % 25 else None, "w " * r.randint(1, 80), f"src{i // 25}", "en") for i in range(125)]
     con = duckdb.connect()
     con.execute("create table documents (doc_id bigint, text varchar, source varchar, lang varchar)")
     con.executemany("insert into documents values (?, ?, ?, ?)", rows)
@@ -268,7 +267,20 @@ def test_mix_gives_null_ids_their_place(spark):
     want = rows_of([d[0] for d in cur.description], cur.fetchall())
     got = source_mix.source_mix(spark.createDataFrame(rows, SCHEMA).repartition(3))
     assert rows_of(got.columns, [tuple(x) for x in got.collect()]) == want
-    assert any(x["doc_id"] is None and x["taken"] for x in got.collect())
+    return got
+
+
+def test_mix_gives_null_ids_their_place(spark):
+    r = random.Random(8)
+    rows = [(i if i % 25 else None, "w " * r.randint(1, 80), f"src{i // 25}", "en") for i in range(125)]
+    assert any(x["doc_id"] is None and x["taken"] for x in _mixed_as_in_sql(spark, rows).collect())
+
+
+def test_mix_of_more_sources_than_cells(spark, monkeypatch):
+    monkeypatch.setattr(source_mix, "GRID", 4)
+    r = random.Random(9)
+    rows = [(i, "w " * r.randint(1, 40), f"src{min(i, 90):03d}", "en") for i in range(150)]  # 90 sources of a row, one of sixty
+    _mixed_as_in_sql(spark, rows)
 
 
 def test_suffix_without_ids(spark):
